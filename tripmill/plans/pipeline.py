@@ -1,0 +1,147 @@
+"""Whole runs for one scenario: extract, stage, build the marts, publish."""
+
+from __future__ import annotations
+
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmill.operators.selection import in_window
+from tripmill.plans.marts import mart_sums, marts_from_sums
+from tripmill.plans.staging import stage_trips
+from tripmill.scenario import Scenario, sized_name
+from tripmill.schema import MARTS, TRIP_COLUMNS, TRIP_SCHEMA, check
+from tripmill.scratch import materialise
+from tripmill.sinks.tables import (
+    Sink,
+    ensure_schema,
+    publish,
+    replace_staging_view,
+    replace_table,
+    write_parquet,
+)
+from tripmill.sources.trips import read_trips, trips_table
+
+# The public schema names.
+RAW_SCHEMA = "raw"
+TARGET_SCHEMA = "transformed"
+MARTS_SCHEMA = "transformed_marts"
+
+
+def extract(
+    trips: DataFrame,
+    scenario: Scenario,
+    all_columns: bool = True,
+    year_partition: str | None = None,
+) -> DataFrame:
+    """The trips of a scenario: every column, or only those the marts need."""
+    trips = in_window(check(trips, TRIP_SCHEMA), scenario, year_partition=year_partition)
+    return trips if all_columns else trips.select(*TRIP_COLUMNS)
+
+
+def extract_to_parquet(trips: DataFrame, scenario: Scenario, root: str, **how) -> str:
+    """Write the scenario's trips below ``root`` and return the folder."""
+    path = f"{root}/raw/{scenario.name}"
+    write_parquet(extract(trips, scenario, **how), path)
+    return path
+
+
+def extract_to_table(
+    trips: DataFrame, scenario: Scenario, schema: str = RAW_SCHEMA, **how
+) -> str:
+    """Replace the scenario's raw table and return its name."""
+    name = sized_name("taxi_trips", scenario.name, schema)
+    replace_table(extract(trips, scenario, **how), name)
+    return name
+
+
+def build_marts(staged: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
+    """All three marts for one pass over ``staged``.
+
+    The sums are written out and read back, so that the three marts share them
+    without a cache that dies with its executor.
+    """
+    return marts_from_sums(materialise(mart_sums(staged)), zones)
+
+
+def transform(
+    spark: SparkSession, raw: str, zones: DataFrame, size: str, root: str, null_tip: str = "ignore"
+) -> dict[str, str]:
+    """Marts from the raw Parquet folder, as one Parquet folder each."""
+    marts = build_marts(stage_trips(read_trips(spark, raw), null_tip), zones)
+    paths = {name: f"{root}/marts/{size}/{name}" for name in MARTS}
+    for name, path in paths.items():
+        write_parquet(marts[name], path)
+    return paths
+
+
+def load(
+    spark: SparkSession,
+    paths: dict[str, str],
+    size: str,
+    schema: str | None = MARTS_SCHEMA,
+    sink: Sink = replace_table,
+) -> dict[str, str]:
+    """Publish mart folders as tables; see ``publish`` for failures."""
+    frames = {name: partial(spark.read.parquet, path) for name, path in paths.items()}
+    return publish(frames, schema, size, sink)
+
+
+def run_etl(
+    spark: SparkSession,
+    trips: DataFrame,
+    zones: DataFrame,
+    scenario: Scenario,
+    root: str,
+    schema: str | None = MARTS_SCHEMA,
+    sink: Sink = replace_table,
+    null_tip: str = "ignore",
+    **how,
+) -> dict[str, str]:
+    """Files first: raw Parquet, mart Parquet, then mart tables.
+
+    ``root`` must be a folder that all executors reach. The schema must exist
+    when the sink is a catalog table.
+    """
+    raw = extract_to_parquet(trips, scenario, root, **how)
+    paths = transform(spark, raw, zones, scenario.name, root, null_tip)
+    return load(spark, paths, scenario.name, schema, sink)
+
+
+def run_elt(
+    spark: SparkSession,
+    trips: DataFrame,
+    zones: DataFrame,
+    scenario: Scenario,
+    raw_schema: str = RAW_SCHEMA,
+    target_schema: str = TARGET_SCHEMA,
+    location: str | None = None,
+    **how,
+) -> dict[str, str]:
+    """Tables throughout: raw table, zone table, staging view, mart tables.
+
+    Staging goes to ``<target_schema>_staging`` and the marts to
+    ``<target_schema>_marts``. Schemas that do not exist yet are created, below
+    ``location`` when given.
+    """
+    size = scenario.name
+    staging_schema, marts_schema = f"{target_schema}_staging", f"{target_schema}_marts"
+    for schema in (raw_schema, staging_schema, marts_schema):
+        ensure_schema(spark, schema, f"{location}/{schema}" if location else None)
+    raw = extract_to_table(trips, scenario, raw_schema, **how)
+    dimension = sized_name("dim_strefy_chicago", size, staging_schema)
+    replace_table(zones, dimension)
+    replace_staging_view(spark, raw, sized_name("stg_taxi_trips", size, staging_schema))
+    marts = build_marts(stage_trips(trips_table(spark, raw)), spark.table(dimension))
+    return publish(marts, marts_schema, size)
+
+
+def table_counts(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
+    """``cel, wiersze``: the rows in each published table."""
+    counts = None
+    for name, target in sorted(targets.items()):
+        part = spark.table(target).agg(F.count("*").alias("wiersze"))
+        part = part.select(F.lit(name).alias("cel"), "wiersze")
+        counts = part if counts is None else counts.union(part)
+    return counts
