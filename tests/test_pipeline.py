@@ -1,0 +1,112 @@
+import pytest
+from pyspark.sql import functions as F
+
+from checks.trips_view import SCENARIOS, trips as trips_view, zones as zones_view
+from conftest import SF_DIR, bag, utc
+from tripmill.plans import marts, pipeline
+from tripmill.plans.staging import stage_trips
+from tripmill.schema import MARTS, TRIP_COLUMNS
+from tripmill.sinks.tables import PublishError, ensure_schema, format_sink, publish, write_parquet
+
+SMALL = SCENARIOS["small"]
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    return trips_view(spark, SF_DIR), zones_view(spark, SF_DIR)
+
+
+def counts(frames):
+    return {name: df.count() for name, df in frames.items()}
+
+
+def test_elt_run_twice_gives_the_same_tables(spark, inputs):
+    trips, zones = inputs
+    staged = stage_trips(pipeline.extract(trips, SMALL))
+    want = counts({
+        "mart_dynamika_ruchu": marts.traffic_dynamics(staged, zones),
+        "mart_finanse": marts.finance(staged),
+        "mart_trasy": marts.routes(staged, zones),
+    })
+    seen = []
+    for _ in range(2):
+        targets = pipeline.run_elt(spark, trips, zones, SMALL)
+        assert targets == {m: f"transformed_marts.{m}_small" for m in MARTS}
+        assert counts({m: spark.table(t) for m, t in targets.items()}) == want
+        seen.append(bag(spark.table(targets["mart_trasy"])))
+    assert seen[0] == seen[1]
+    assert bag(spark.table("raw.taxi_trips_small")) == bag(pipeline.extract(trips, SMALL))
+    assert bag(spark.table("transformed_staging.dim_strefy_chicago_small")) == bag(zones)
+    view = spark.table("transformed_staging.stg_taxi_trips_small")
+    assert view.columns == staged.columns
+    assert bag(view) == bag(staged)
+
+
+def test_view_follows_its_table(spark, make_trips, zones):
+    scenario = pipeline.Scenario("tiny", utc(2022, 1, 1).replace(tzinfo=None),
+                                 utc(2023, 1, 1).replace(tzinfo=None))
+    pipeline.run_elt(spark, make_trips({}), zones, scenario)
+    name = "transformed_staging.stg_taxi_trips_tiny"
+    assert spark.table(name).count() == 1
+    pipeline.extract_to_table(make_trips({}, {"unique_key": "b"}), scenario)
+    assert spark.table(name).count() == 2
+
+
+def test_etl_run_twice(spark, inputs, tmp_path):
+    trips, zones = inputs
+    ensure_schema(spark, "etl_marts")
+    root = str(tmp_path)
+    finance = marts.finance(stage_trips(pipeline.extract(trips, SMALL), "ignore"))
+    for _ in range(2):
+        targets = pipeline.run_etl(spark, trips, zones, SMALL, root, "etl_marts")
+        assert spark.table(targets["mart_finanse"]).count() == finance.count()
+        rows = pipeline.table_counts(spark, targets).collect()
+        assert [r.cel for r in rows] == sorted(MARTS) and all(r.wiersze for r in rows)
+    for mart in MARTS:
+        assert bag(spark.read.parquet(f"{root}/marts/small/{mart}")) == bag(
+            spark.table(targets[mart])
+        )
+
+
+def test_extract_keeps_all_or_only_needed_columns(spark, make_trips, tmp_path):
+    trips = make_trips({}).withColumn("company", F.lit("x"))
+    scenario = pipeline.Scenario("s", utc(2022, 1, 1).replace(tzinfo=None),
+                                 utc(2023, 1, 1).replace(tzinfo=None))
+    path = pipeline.extract_to_parquet(trips, scenario, str(tmp_path))
+    assert path == f"{tmp_path}/raw/s"
+    assert spark.read.parquet(path).columns == [*TRIP_COLUMNS, "company"]
+    pipeline.extract_to_parquet(trips, scenario, str(tmp_path), all_columns=False)
+    assert spark.read.parquet(path).columns == TRIP_COLUMNS
+
+
+def test_one_failing_mart_fails_the_call_after_the_others(spark, tmp_path):
+    written = []
+
+    def sink(df, name):
+        if "finanse" in name:
+            raise OSError("no room")
+        written.append(name)
+
+    frames = {m: spark.range(1) for m in MARTS}
+    with pytest.raises(PublishError, match="no room") as error:
+        publish(frames, "marts", "large", sink)
+    assert written == ["marts.mart_dynamika_ruchu_large", "marts.mart_trasy_large"]
+    assert list(error.value.failures) == ["marts.mart_finanse_large"]
+
+
+def test_unreadable_mart_folder_fails_only_its_target(spark, tmp_path):
+    good = f"{tmp_path}/good"
+    write_parquet(spark.range(3), good)
+    written = []
+    paths = {"mart_finanse": f"{tmp_path}/absent", "mart_trasy": good}
+    with pytest.raises(PublishError):
+        pipeline.load(spark, paths, "small", None, lambda df, name: written.append(df.count()))
+    assert written == [3]
+
+
+def test_connector_sink_passes_name_and_options(spark, tmp_path):
+    sink = format_sink("parquet", name_option="path", compression="gzip")
+    assert publish({"m": spark.range(5)}, None, "small",
+                   lambda df, name: sink(df, f"{tmp_path}/{name}")) == {"m": "m_small"}
+    files = list((tmp_path / "m_small").glob("*.gz.parquet"))
+    assert files and spark.read.parquet(f"{tmp_path}/m_small").count() == 5

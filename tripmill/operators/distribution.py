@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Bins per narrowing step, and steps before single values are looked at. Two
-# steps cut the range of a column to one part in 16 million around each rank.
-NARROW_BINS = 4096
+# steps cut the range around each rank to one part in 268 million.
+NARROW_BINS = 16384
 NARROW_STEPS = 2
 
 # exp(-z * z / 2) is exactly 0.0 in double precision beyond this distance.
@@ -50,34 +52,36 @@ def totals(counts: DataFrame) -> DataFrame:
 
 
 def deviations(counts: DataFrame, whole: DataFrame) -> DataFrame:
-    """``kolumna, n, srednia, odchylenie``: the sample standard deviation.
+    """``whole`` with ``odchylenie``, the sample standard deviation.
 
     The mean is taken off each value first, as sums of plain squares lose digits.
     ``whole`` has one row per column, which bounds the broadcast.
     """
-    centred = counts.join(F.broadcast(whole.select("kolumna", "n", "srednia")), "kolumna")
     square = F.pow(F.col("wartosc") - F.col("srednia"), 2) * F.col("liczba")
-    return centred.groupBy("kolumna", "n", "srednia").agg(
-        F.when(F.col("n") > 1, F.sqrt(F.sum(square) / (F.col("n") - 1))).alias("odchylenie")
+    return (
+        counts.join(F.broadcast(whole), "kolumna")
+        .groupBy(*whole.columns)
+        .agg(F.when(F.col("n") > 1, F.sqrt(F.sum(square) / (F.col("n") - 1))).alias("odchylenie"))
     )
 
 
-def _positions(whole: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """``kolumna, p, k, ulamek``: the two ranks around each percentile."""
-    at = F.col("p") * (F.col("n") - 1)
-    return (
-        whole.select("kolumna", "n", F.explode(F.array(*map(F.lit, probabilities))).alias("p"))
-        .withColumn("ulamek", at - F.floor(at))
-        .withColumn("k", F.explode(F.array(F.floor(at), F.ceil(at))))
-        .select("kolumna", "p", "k", "ulamek")
-    )
+def _rank(p: float) -> Column:
+    """The position of percentile ``p`` among ``n`` sorted values, from 0."""
+    return F.lit(p) * (F.col("n") - 1)
 
 
-def _narrow(counts: DataFrame, ranges: DataFrame, ranks: DataFrame, bin_of) -> DataFrame:
-    """Cut each range into bins and find the bins that hold a wanted rank.
+def _holds(k: Column) -> Column:
+    return (F.col("przed") <= k) & (k < F.col("do_tad"))
+
+
+def _narrow(
+    counts: DataFrame, ranges: DataFrame, bin_of: Column, probabilities: Sequence[float]
+) -> DataFrame:
+    """Cut each range into bins and keep the bins that hold a wanted rank.
 
-    ``ranges`` has ``kolumna, lo, hi, przed``, the last being the number of
-    values below ``lo``. The ranges of a column do not overlap.
+    ``ranges`` has ``kolumna, n, lo, hi, przed``, the last being the number of
+    values below ``lo``. The ranges of a column do not overlap, and there are at
+    most two per percentile, which bounds the broadcast.
     """
     bins = (
         counts.join(
@@ -85,7 +89,7 @@ def _narrow(counts: DataFrame, ranges: DataFrame, ranks: DataFrame, bin_of) -> D
             (F.col("kolumna") == F.col("_kolumna"))
             & F.col("wartosc").between(F.col("lo"), F.col("hi")),
         )
-        .groupBy("kolumna", "lo", "przed", bin_of.alias("kosz"))
+        .groupBy("kolumna", "n", "lo", "przed", bin_of.alias("kosz"))
         .agg(
             F.sum("liczba").alias("liczba"),
             F.min("wartosc").alias("od"),
@@ -95,19 +99,18 @@ def _narrow(counts: DataFrame, ranges: DataFrame, ranks: DataFrame, bin_of) -> D
     running = W.partitionBy("kolumna", "lo").orderBy("kosz").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    upto = F.col("przed") + F.sum("liczba").over(running)
-    return bins.select(
-        "kolumna",
-        F.col("od").alias("lo"),
-        F.col("do").alias("hi"),
-        (upto - F.col("liczba")).alias("przed"),
-        upto.alias("do_tad"),
-    ).join(
-        F.broadcast(ranks.withColumnRenamed("kolumna", "_kolumna")),
-        (F.col("kolumna") == F.col("_kolumna"))
-        & (F.col("przed") <= F.col("k"))
-        & (F.col("k") < F.col("do_tad")),
-        "left_semi",
+    wanted = [_holds(f(_rank(p))) for p in probabilities for f in (F.floor, F.ceil)]
+    return (
+        bins.withColumn("do_tad", F.col("przed") + F.sum("liczba").over(running))
+        .select(
+            "kolumna",
+            "n",
+            F.col("od").alias("lo"),
+            F.col("do").alias("hi"),
+            (F.col("do_tad") - F.col("liczba")).alias("przed"),
+            "do_tad",
+        )
+        .filter(reduce(or_, wanted))
     )
 
 
@@ -121,35 +124,26 @@ def quantiles(
 
     Each step counts values per equal-width bin and keeps only the bins around
     the wanted ranks, cut to their smallest and largest value; the last step
-    ranks the single values left over. Broadcast are the ranks and the kept
-    ranges: at most ``2 * len(probabilities)`` rows per column.
+    ranks the single values left over.
     """
-    whole = totals(counts)
-    positions = _positions(whole, probabilities)
-    ranks = positions.select("kolumna", "k")
     width = F.col("hi") - F.col("lo")
     share = F.when(width > 0, (F.col("wartosc") - F.col("lo")) / width).otherwise(F.lit(0.0))
-    ranges = whole.select("kolumna", "lo", "hi", F.lit(0).cast("bigint").alias("przed"))
+    bin_of = F.least(F.floor(share * bins), F.lit(bins - 1).cast("bigint"))
+    ranges = totals(counts).select(
+        "kolumna", "n", "lo", "hi", F.lit(0).cast("bigint").alias("przed")
+    )
     for _ in range(steps):
-        ranges = _narrow(
-            counts, ranges, ranks, F.least(F.floor(share * bins), F.lit(bins - 1).cast("bigint"))
-        ).drop("do_tad")
-    found = _narrow(counts, ranges, ranks, F.col("wartosc"))
-    hits = F.broadcast(found.withColumnRenamed("kolumna", "_kolumna"))
-    low, high = F.min("lo"), F.max("lo")
+        ranges = _narrow(counts, ranges, bin_of, probabilities).drop("do_tad")
+    found = _narrow(counts, ranges, F.col("wartosc"), probabilities)
+    places = [F.struct(F.lit(p).alias("p"), _rank(p).alias("miejsce")) for p in probabilities]
+    at = F.col("miejsce")
     return (
-        positions.join(
-            hits,
-            (F.col("kolumna") == F.col("_kolumna"))
-            & (F.col("przed") <= F.col("k"))
-            & (F.col("k") < F.col("do_tad")),
-        )
-        .groupBy("kolumna", "p", "ulamek")
-        .agg(low.alias("_low"), high.alias("_high"))
+        found.select("*", F.inline(F.array(*places)))
+        .filter(_holds(F.floor(at)) | _holds(F.ceil(at)))
+        .groupBy("kolumna", "p", "miejsce")
+        .agg(F.min("lo").alias("lo"), F.max("lo").alias("hi"))
         .select(
-            "kolumna",
-            "p",
-            (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("ulamek")).alias("kwantyl"),
+            "kolumna", "p", (F.col("lo") + width * (at - F.floor(at))).alias("kwantyl")
         )
     )
 
@@ -227,14 +221,11 @@ def density(counts: DataFrame, points: int = 200, bins: int = 30) -> DataFrame:
     points whose kernel term is not zero in double precision, and the terms are
     added up per point before the shuffle.
     """
-    whole = totals(counts)
     grid = (
-        deviations(counts, whole)
+        deviations(counts, totals(counts))
         .filter(F.col("odchylenie") > 0)
-        .join(F.broadcast(whole.select("kolumna", "lo", "hi")), "kolumna")
         .select(
             "kolumna",
-            "n",
             "lo",
             "hi",
             (F.pow("n", F.lit(-0.2)) * F.col("odchylenie")).alias("h"),
@@ -245,19 +236,19 @@ def density(counts: DataFrame, points: int = 200, bins: int = 30) -> DataFrame:
     first = F.lit(0).cast("bigint")
     offset = F.col("wartosc") - F.col("lo")
     reach = F.col("h") * _KERNEL_REACH
-    near = F.sequence(
-        F.greatest(first, F.ceil((offset - reach) / F.col("krok"))),
-        F.least(last, F.floor((offset + reach) / F.col("krok"))),
-    )
-    has_near = F.ceil((offset - reach) / F.col("krok")) <= F.floor(
-        (offset + reach) / F.col("krok")
-    )
+    near_from = F.greatest(first, F.ceil((offset - reach) / F.col("krok")))
+    near_to = F.least(last, F.floor((offset + reach) / F.col("krok")))
     x = F.col("lo") + F.col("punkt") * F.col("krok")
     z = (x - F.col("wartosc")) / F.col("h")
+    # Up to ``points`` exponentials per row: keep every shuffle partition a task
+    # of its own, however few bytes it has. (By value alone, as Spark drops a
+    # repartition on the keys that the counts are already partitioned by.)
+    spark = counts.sparkSession
+    spread = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "wartosc")
     sums = (
-        counts.join(F.broadcast(grid), "kolumna")
-        .filter(has_near)
-        .withColumn("punkt", F.explode(near))
+        spread.join(F.broadcast(grid), "kolumna")
+        .filter(near_from <= near_to)
+        .withColumn("punkt", F.explode(F.sequence(near_from, near_to)))
         .withColumn("skladnik", F.col("liczba") * F.exp(-z * z / 2))
         .groupBy("kolumna", "punkt")
         .agg(F.sum("skladnik").alias("suma"))

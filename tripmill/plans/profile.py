@@ -52,8 +52,7 @@ def describe(trips: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     Missing values do not count; a column without values has count 0 and nulls.
     """
     counts = dist.value_counts(trips, columns)
-    whole = dist.totals(counts)
-    spread = dist.deviations(counts, whole).select("kolumna", "odchylenie")
+    moments = dist.deviations(counts, dist.totals(counts))
     marks = (
         dist.quantiles(counts, list(PERCENTILES))
         .groupBy("kolumna")
@@ -64,7 +63,7 @@ def describe(trips: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     )
     names = trips.sparkSession.createDataFrame([(c,) for c in columns], "kolumna string")
     # One row per column on every side.
-    for side in (whole, spread, marks):
+    for side in (moments, marks):
         names = names.join(F.broadcast(side), "kolumna", "left")
     return names.select(
         "kolumna",
