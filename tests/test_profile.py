@@ -55,7 +55,7 @@ def test_describe_edge_columns(spark):
     assert rows["nan"][0] == 2 and rows["nan"][5] == 2.0
 
 
-@pytest.mark.parametrize("bins,steps", [(2, 1), (3, 4), (16384, 2), (5, 0)])
+@pytest.mark.parametrize("bins,steps", [(2, 1), (3, 4), (4096, 2), (5, 0)])
 def test_quantiles_do_not_depend_on_the_narrowing(spark, bins, steps):
     data = numbers(2, 500)
     ps = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
@@ -89,6 +89,25 @@ def test_quantile_property(spark, values, p):
     assert row.kwantyl == want or math.isclose(row.kwantyl, want, rel_tol=1e-12)
 
 
+def test_quantiles_over_the_whole_range_of_doubles(spark):
+    values = [0.0, 5e-324, -5e-324, 2.2e-308, 1.7976931348623157e308, -1.7976931348623157e308]
+    values += [s * 2.0**e * f for s in (1, -1) for e in range(-1000, 1000, 97)
+               for f in (1 - 2**-53, 1.0, 1 + 2**-52)]
+    values.sort()
+    n = len(values)
+    counts = dist.value_counts(frame(spark, x=values), ["x"])
+    ps = [i / (n - 1) for i in range(0, n, 5)]
+    for row in dist.quantiles(counts, ps, bins=8).collect():
+        at = row.p * (n - 1)
+        assert values[math.floor(at)] <= row.kwantyl <= values[math.ceil(at)]
+
+
+def test_infinite_values_rank_last(spark):
+    df = frame(spark, x=[1.0, 2.0, float("inf"), float("-inf"), 3.0])
+    rows = dist.quantiles(dist.value_counts(df, ["x"]), [0.25, 0.5, 0.75]).collect()
+    assert {r.p: r.kwantyl for r in rows} == {0.25: 1.0, 0.5: 2.0, 0.75: 3.0}
+
+
 def trimmed(values):
     values = np.array([v for v in values if v is not None])
     return values[values <= np.quantile(values, 0.99)]

@@ -70,7 +70,9 @@ def test_scratch_off_one_machine_needs_a_shared_folder():
 
     class Session:
         conf = Conf()
-        sparkContext = type("C", (), {"master": "spark://host:7077"})()
+        sparkContext = type(
+            "C", (), {"master": "spark://host:7077", "getCheckpointDir": lambda self: None}
+        )()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_dir(Session())

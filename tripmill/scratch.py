@@ -14,7 +14,7 @@ def scratch_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may
     do without, and then gets a temporary folder of this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(
