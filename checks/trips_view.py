@@ -34,10 +34,14 @@ def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] = TRIP_COLUMN
         supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         records = records.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     if "dropoff_community_area" in columns:
-        orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        # Orders meet their customers first: the records are many times more.
         customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        orders = (
+            _table(spark, sf_dir, "orders")
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select("o_orderkey", "c_nationkey")
+        )
         records = records.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        records = records.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     order_mod = F.col("l_orderkey") % 50
     start_hour = (F.col("l_partkey") * 7 + F.col("l_suppkey")) % 24
     expressions = {

@@ -6,7 +6,14 @@ from conftest import SF_DIR, bag, utc
 from tripmill.plans import marts, pipeline
 from tripmill.plans.staging import stage_trips
 from tripmill.schema import MARTS, TRIP_COLUMNS
-from tripmill.sinks.tables import PublishError, ensure_schema, format_sink, publish, write_parquet
+from tripmill.sinks.tables import (
+    PublishError,
+    ensure_schema,
+    format_sink,
+    publish,
+    replace_staging_view,
+    write_parquet,
+)
 
 SMALL = SCENARIOS["small"]
 
@@ -52,6 +59,26 @@ def test_view_follows_its_table(spark, make_trips, zones):
     assert spark.table(name).count() == 2
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_view_equals_staging_in_any_session_zone(spark, make_trips, kind):
+    times = [utc(2022, 1, 1, 0, 30), utc(2022, 11, 6, 6, 30), utc(2022, 11, 6, 7, 30), None]
+    trips = make_trips(*[
+        {"unique_key": str(i), "trip_start_timestamp": t, "tips": None if i == 1 else 1.0}
+        for i, t in enumerate(times)
+    ])
+    trips = trips.withColumn("trip_start_timestamp", F.col("trip_start_timestamp").cast(kind))
+    table, view = f"zone_trips_{kind}", f"zone_view_{kind}"
+    trips.write.mode("overwrite").saveAsTable(table)
+    want = bag(stage_trips(spark.table(table)))
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        replace_staging_view(spark, table, view)
+        assert bag(spark.table(view)) == want
+        assert bag(stage_trips(spark.table(table))) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_etl_run_twice(spark, inputs, tmp_path):
     trips, zones = inputs
     ensure_schema(spark, "etl_marts")

@@ -165,8 +165,10 @@ def test_density_far_from_all_values_is_zero_not_missing(spark):
     assert len(rows) == 200 and all(r.gestosc is not None for r in rows)
 
 
-def test_density_needs_spread(spark):
-    df = frame(spark, same=[2.0, 2.0, 2.0], none=[None, None, None])
+def test_no_spread_is_no_spread(spark):
+    df = frame(spark, same=[0.1, 0.1, 0.1], none=[None, None, None])
+    stds = {r.kolumna: r["std"] for r in profile.describe(df, df.columns).collect()}
+    assert stds == {"same": 0.0, "none": None}
     assert dist.density(dist.value_counts(df, df.columns)).collect() == []
 
 

@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 _SECONDS_PER_DAY = 86_400
 
 
-def _is_zoned(df: DataFrame, column: str) -> bool:
+def is_zoned(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.TimestampType)
 
 
 def utc_date(df: DataFrame, column: str) -> Column:
-    if _is_zoned(df, column):
+    if is_zoned(df, column):
         days = F.floor(F.unix_seconds(F.col(column)) / _SECONDS_PER_DAY)
         return F.date_from_unix_date(days.cast("int"))
     return F.to_date(F.col(column))
@@ -32,7 +32,7 @@ def month(df: DataFrame, column: str) -> Column:
 
 def hour(df: DataFrame, column: str) -> Column:
     # A zoned timestamp is an instant, so its UTC hour is plain arithmetic.
-    if _is_zoned(df, column):
+    if is_zoned(df, column):
         in_day = F.pmod(F.unix_seconds(F.col(column)), F.lit(_SECONDS_PER_DAY))
         return F.floor(in_day / 3600).cast("int")
     return F.hour(F.col(column))
@@ -45,6 +45,6 @@ def utc_literal(df: DataFrame, column: str, moment: datetime) -> Column:
     can be pushed to the Parquet reader.
     """
     text = moment.isoformat(sep=" ")
-    if _is_zoned(df, column):
+    if is_zoned(df, column):
         return F.expr(f"TIMESTAMP '{text}+00:00'")
     return F.expr(f"TIMESTAMP_NTZ '{text}'")

@@ -65,10 +65,14 @@ def deviations(counts: DataFrame, whole: DataFrame) -> DataFrame:
     ``whole`` has one row per column, which bounds the broadcast.
     """
     square = F.pow(F.col("wartosc") - F.col("srednia"), 2) * F.col("liczba")
+    # The mean of equal values may be a rounding error away from them.
+    spread = F.when(F.col("lo") == F.col("hi"), F.lit(0.0)).otherwise(
+        F.sqrt(F.sum(square) / (F.col("n") - 1))
+    )
     return (
         counts.join(F.broadcast(whole), "kolumna")
         .groupBy(*whole.columns)
-        .agg(F.when(F.col("n") > 1, F.sqrt(F.sum(square) / (F.col("n") - 1))).alias("odchylenie"))
+        .agg(F.when(F.col("n") > 1, spread).alias("odchylenie"))
     )
 
 
@@ -264,6 +268,9 @@ def density(counts: DataFrame, points: int = 200, bins: int = 30) -> DataFrame:
             "hi",
             (F.pow("n", F.lit(-0.2)) * F.col("odchylenie")).alias("h"),
             ((F.col("hi") - F.col("lo")) / (points - 1)).alias("krok"),
+            # One whole number per column and point is a cheaper key for the many
+            # terms than a name and a number. One row per column goes into this.
+            ((F.row_number().over(W.orderBy("kolumna")) - 1) * points).cast("bigint").alias("baza"),
         )
     )
     last = F.lit(points - 1).cast("bigint")
@@ -284,14 +291,15 @@ def density(counts: DataFrame, points: int = 200, bins: int = 30) -> DataFrame:
         .filter(near_from <= near_to)
         .withColumn("punkt", F.explode(F.sequence(near_from, near_to)))
         .withColumn("skladnik", F.col("liczba") * F.exp(-z * z / 2))
-        .groupBy("kolumna", "punkt")
+        .groupBy((F.col("baza") + F.col("punkt")).alias("miejsce"))
         .agg(F.sum("skladnik").alias("suma"))
     )
     # Density times the histogram's area: n values times the bin width.
     to_counts = (F.col("hi") - F.col("lo")) / bins / (F.col("h") * math.sqrt(2 * math.pi))
     return (
         grid.withColumn("punkt", F.explode(F.sequence(first, last)))
-        .join(sums, ["kolumna", "punkt"], "left")
+        .withColumn("miejsce", F.col("baza") + F.col("punkt"))
+        .join(sums, "miejsce", "left")
         .select(
             "kolumna",
             "punkt",

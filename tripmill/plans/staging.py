@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions import calendar
 from tripmill.functions.measures import speed_mph, tip_percent
-from tripmill.operators.dedup import any_per_key, first_per_key
+from tripmill.operators.dedup import SURVIVOR_ORDER, any_per_key, first_per_key
 from tripmill.operators.selection import valid_trips
 from tripmill.schema import STAGED_NAMES, TRIP_COLUMNS, TRIP_SCHEMA, check
 
@@ -45,22 +45,24 @@ def stage_trips(trips: DataFrame, null_tip: str = "zero", survivor: str = "first
     return staged.fillna({"napiwek": 0.0}) if null_tip == "ignore" else staged
 
 
-def staging_view_sql(source: str) -> str:
+def staging_view_sql(source: str, zoned: bool = True) -> str:
     """The staging query as SQL text, for a catalog view over table ``source``.
 
-    Stored views keep their text, not a DataFrame. Same rows as ``stage_trips``
-    in a session that runs in UTC.
+    Stored views keep their text, not a DataFrame. ``zoned`` tells whether the
+    start time is an instant, whose UTC parts need arithmetic, or a plain time.
     """
+    start = "trip_start_timestamp"
+    day, hour = start, f"hour({start})"
+    if zoned:
+        day = f"date_from_unix_date(cast(floor(unix_seconds({start}) / 86400) AS int))"
+        hour = f"cast(floor(pmod(unix_seconds({start}), 86400) / 3600) AS int)"
     names = ", ".join(f"{raw} AS {staged}" for raw, staged in STAGED_NAMES.items())
-    order = ", ".join(
-        f"{c} ASC NULLS FIRST"
-        for c in ["trip_start_timestamp", *[c for c in TRIP_COLUMNS[2:]]]
-    )
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in SURVIVOR_ORDER)
     return f"""
         SELECT {names},
-               year(trip_start_timestamp) AS rok,
-               month(trip_start_timestamp) AS miesiac,
-               hour(trip_start_timestamp) AS godzina,
+               year({day}) AS rok,
+               month({day}) AS miesiac,
+               {hour} AS godzina,
                trip_miles / nullif(trip_seconds / 3600, 0) AS predkosc,
                CASE WHEN trip_total > 0 THEN coalesce(tips, 0) / trip_total * 100
                     ELSE 0 END AS procent_napiwku

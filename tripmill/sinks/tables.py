@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmill.functions.calendar import is_zoned
 from tripmill.plans.staging import staging_view_sql
 from tripmill.scenario import DEFAULT_SIZE, sized_name
 
@@ -51,7 +52,8 @@ def format_sink(fmt: str, name_option: str = "table", **options: str) -> Sink:
 
 def replace_staging_view(spark: SparkSession, raw_table: str, view: str) -> None:
     """A catalog view over ``raw_table``; its rows are worked out on each read."""
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {staging_view_sql(raw_table)}")
+    zoned = is_zoned(spark.table(raw_table), "trip_start_timestamp")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {staging_view_sql(raw_table, zoned)}")
 
 
 def publish(
