@@ -226,21 +226,25 @@ def null_profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.null_rates_long(trips(spark, sf_dir, AUDITED))
 
 
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.value_table(trips(spark, sf_dir, MEASURES))
+
+
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = profile.describe(trips(spark, sf_dir, MEASURES))
+    summary = profile.describe(_values(spark, sf_dir))
     return _rounded(summary, 4, *summary.columns[2:])
 
 
 def trim_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.trimmed(trips(spark, sf_dir, MEASURES))
+    return profile.trimmed_rows(trips(spark, sf_dir, MEASURES))
 
 
 def histogram30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(profile.histogram(trips(spark, sf_dir, MEASURES)), 6, "od", "do")
+    return _rounded(profile.histogram(_values(spark, sf_dir)), 6, "od", "do")
 
 
 def kde200(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = profile.density(trips(spark, sf_dir, MEASURES))
+    curve = profile.density(_values(spark, sf_dir))
     return _rounded(_rounded(curve, 6, "x"), 3, "gestosc")
 
 

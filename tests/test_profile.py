@@ -22,6 +22,10 @@ def frame(spark, **columns):
     return spark.createDataFrame(list(zip(*columns.values())), schema)
 
 
+def table(spark, data):
+    return profile.value_table(frame(spark, **data), list(data))
+
+
 def numbers(seed, n=3000):
     rng = np.random.default_rng(seed)
     return {
@@ -36,7 +40,7 @@ def test_describe_equals_pandas(spark):
     data = numbers(1)
     data["gaps"] = [None if i % 3 else float(i) for i in range(3000)]
     want = pd.DataFrame(data).describe(percentiles=[0.01, 0.5, 0.99]).T
-    rows = profile.describe(frame(spark, **data), list(data)).collect()
+    rows = profile.describe(table(spark, data), list(data)).collect()
     assert len(rows) == len(data)
     for row in rows:
         for stat in STATS:
@@ -48,7 +52,7 @@ def test_describe_edge_columns(spark):
         spark, none=[None, None, None], one=[4.0, None, None], same=[2.0, 2.0, 2.0],
         nan=[1.0, float("nan"), 3.0],
     )
-    rows = {r.kolumna: tuple(r)[1:] for r in profile.describe(df, df.columns).collect()}
+    rows = {r.kolumna: tuple(r)[1:] for r in profile.describe(profile.value_table(df, df.columns), df.columns).collect()}
     assert rows["none"] == (0, *[None] * 7)
     assert rows["one"] == (1, 4.0, None, 4.0, 4.0, 4.0, 4.0, 4.0)
     assert rows["same"] == (3, 2.0, 0.0, 2.0, 2.0, 2.0, 2.0, 2.0)
@@ -116,14 +120,14 @@ def trimmed(values):
 def test_trim(spark):
     data = numbers(3)
     data["gaps"] = [None if i % 3 else float(i) for i in range(3000)]
-    rows = profile.trimmed(frame(spark, **data), list(data)).collect()
+    rows = profile.trimmed_rows(frame(spark, **data), list(data)).collect()
     got = {c: sorted(r.wartosc for r in rows if r.kolumna == c) for c in data}
     assert got == {c: sorted(trimmed(v).tolist()) for c, v in data.items()}
 
 
 def test_histogram_equals_numpy(spark):
     data = numbers(4)
-    rows = profile.histogram(frame(spark, **data), list(data)).collect()
+    rows = profile.histogram(table(spark, data)).collect()
     for c, values in data.items():
         want, edges = np.histogram(trimmed(values), bins=30)
         mine = sorted((r for r in rows if r.kolumna == c), key=lambda r: r.kosz)
@@ -146,7 +150,7 @@ def test_histogram_edge_columns(spark):
 @pytest.mark.parametrize("seed", [5, 6])
 def test_density(spark, seed):
     data = numbers(seed, 800)
-    rows = profile.density(frame(spark, **data), list(data)).collect()
+    rows = profile.density(table(spark, data)).collect()
     for c, values in data.items():
         v = trimmed(values)
         h = len(v) ** -0.2 * v.std(ddof=1)
@@ -167,7 +171,7 @@ def test_density_far_from_all_values_is_zero_not_missing(spark):
 
 def test_no_spread_is_no_spread(spark):
     df = frame(spark, same=[0.1, 0.1, 0.1], none=[None, None, None])
-    stds = {r.kolumna: r["std"] for r in profile.describe(df, df.columns).collect()}
+    stds = {r.kolumna: r["std"] for r in profile.describe(profile.value_table(df, df.columns), df.columns).collect()}
     assert stds == {"same": 0.0, "none": None}
     assert dist.density(dist.value_counts(df, df.columns)).collect() == []
 

@@ -1,10 +1,10 @@
 """Exact statistics of numeric columns, from distinct values and their counts.
 
 ``value_counts`` reads the table once and combines equal values before its
-shuffle. Everything else works on its result, so a value that fills a third of
-the table is a single row here, and Spark reuses that one shuffle for all steps
-of a query. Per column, the output is a handful of rows; no step puts all values
-of a column into one task.
+shuffle; everything else takes its result (best written out first, as
+``profile.value_table`` does), so a value that fills a third of the table is a
+single row here. Per column, the output is a handful of rows; no step puts all
+values of a column into one task.
 """
 
 from __future__ import annotations

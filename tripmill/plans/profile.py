@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tripmill.functions import calendar
 from tripmill.operators import distribution as dist
 from tripmill.schema import AUDITED, MEASURES
+from tripmill.scratch import materialise
 
 # The statistics of the summary, named as users know them.
 PERCENTILES = {0.01: "1%", 0.5: "50%", 0.99: "99%"}
+UPPER = 0.99
 
 
 def uniqueness_by_year(trips: DataFrame) -> DataFrame:
@@ -46,22 +48,31 @@ def null_rates_long(trips: DataFrame, columns: Sequence[str] = AUDITED) -> DataF
     )
 
 
-def describe(trips: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
+def value_table(trips: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
+    """Distinct values of each column with their counts, written to scratch.
+
+    This is the only read of the trips that the summary, the histogram and the
+    density need; all three take the table it returns, and pass over it several
+    times without adding the values up again.
+    """
+    return materialise(dist.value_counts(trips, columns))
+
+
+def describe(values: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     """One row per column: ``count, mean, std, min, 1%, 50%, 99%, max``.
 
     Missing values do not count; a column without values has count 0 and nulls.
     """
-    counts = dist.value_counts(trips, columns)
-    moments = dist.deviations(counts, dist.totals(counts))
+    moments = dist.deviations(values, dist.totals(values))
     marks = (
-        dist.quantiles(counts, list(PERCENTILES))
+        dist.quantiles(values, list(PERCENTILES))
         .groupBy("kolumna")
         .agg(*[
             F.max(F.when(F.col("p") == p, F.col("kwantyl"))).alias(name)
             for p, name in PERCENTILES.items()
         ])
     )
-    names = trips.sparkSession.createDataFrame([(c,) for c in columns], "kolumna string")
+    names = values.sparkSession.createDataFrame([(c,) for c in columns], "kolumna string")
     # One row per column on every side.
     for side in (moments, marks):
         names = names.join(F.broadcast(side), "kolumna", "left")
@@ -76,36 +87,27 @@ def describe(trips: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     )
 
 
-def trimmed(trips: DataFrame, columns: Sequence[str] = MEASURES, upper: float = 0.99) -> DataFrame:
-    """``kolumna, wartosc``: the values of each column up to its percentile."""
-    limits = dist.upper_limits(dist.value_counts(trips, columns), upper)
-    values = trips.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "kolumna", "wartosc"
-    )
-    return dist.trim_upper(values, limits)
+def trimmed_values(values: DataFrame, upper: float = UPPER) -> DataFrame:
+    """The value table without the values above each column's percentile."""
+    return dist.trim_upper(values, dist.upper_limits(values, upper))
 
 
-def trimmed_counts(
-    trips: DataFrame, columns: Sequence[str] = MEASURES, upper: float = 0.99
+def trimmed_rows(
+    trips: DataFrame, columns: Sequence[str] = MEASURES, upper: float = UPPER
 ) -> DataFrame:
-    """The same as distinct values with their counts."""
-    counts = dist.value_counts(trips, columns)
-    return dist.trim_upper(counts, dist.upper_limits(counts, upper))
+    """``kolumna, wartosc``: the same cut on the single measurements."""
+    limits = dist.upper_limits(value_table(trips, columns), upper)
+    rows = trips.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return dist.trim_upper(rows.unpivot([], list(columns), "kolumna", "wartosc"), limits)
 
 
-def histogram(
-    trips: DataFrame, columns: Sequence[str] = MEASURES, bins: int = 30, upper: float = 0.99
-) -> DataFrame:
+def histogram(values: DataFrame, bins: int = 30, upper: float = UPPER) -> DataFrame:
     """Equal-width bins of the trimmed values of each column."""
-    return dist.histogram(trimmed_counts(trips, columns, upper), bins)
+    return dist.histogram(trimmed_values(values, upper), bins)
 
 
 def density(
-    trips: DataFrame,
-    columns: Sequence[str] = MEASURES,
-    points: int = 200,
-    bins: int = 30,
-    upper: float = 0.99,
+    values: DataFrame, points: int = 200, bins: int = 30, upper: float = UPPER
 ) -> DataFrame:
     """The density curve drawn over the histogram of each column."""
-    return dist.density(trimmed_counts(trips, columns, upper), points, bins)
+    return dist.density(trimmed_values(values, upper), points, bins)
