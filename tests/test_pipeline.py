@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from checks.trips_view import SCENARIOS, trips as trips_view, zones as zones_view
 from conftest import SF_DIR, bag, utc
+from tripmill.cli import main
 from tripmill.plans import marts, pipeline
 from tripmill.plans.staging import stage_trips
 from tripmill.schema import MARTS, TRIP_COLUMNS
@@ -137,3 +138,28 @@ def test_connector_sink_passes_name_and_options(spark, tmp_path):
                    lambda df, name: sink(df, f"{tmp_path}/{name}")) == {"m": "m_small"}
     files = list((tmp_path / "m_small").glob("*.gz.parquet"))
     assert files and spark.read.parquet(f"{tmp_path}/m_small").count() == 5
+
+
+def test_commands(spark, make_trips, tmp_path):
+    raw, root = f"{tmp_path}/source", f"{tmp_path}/run"
+    make_trips(
+        {}, {"unique_key": "b", "tips": None}, {"trip_start_timestamp": utc(2016, 1, 1)}
+    ).write.parquet(raw)
+    main(["extract", "--trips", raw, "--root", root])
+    main(["transform", "--root", root])
+    main(["load", "small", "--root", root, "--schema", "by_command"])
+    assert bag(spark.table("by_command.mart_trasy_small")) == [("Near North Side", "Loop", 2)]
+    assert bag(spark.table("by_command.mart_finanse_small")) == [(2022, 5, "Cash", 2, 40.0, 10.0)]
+
+    spark.read.parquet(raw).createOrReplaceTempView("all_trips")
+    seed = f"{tmp_path}/seed"
+    spark.createDataFrame([(8, "here")], "id_dzielnicy long, nazwa_dzielnicy string").write.option(
+        "header", True
+    ).csv(seed)
+    main(["elt", "medium", "--table", "all_trips", "--zones", seed])
+    assert bag(spark.table("transformed_marts.mart_trasy_medium")) == [("here", None, 1)]
+
+
+def test_load_command_fails_when_a_mart_is_missing(tmp_path):
+    with pytest.raises(PublishError):
+        main(["load", "--root", str(tmp_path), "--schema", "by_command"])

@@ -29,6 +29,14 @@ TARGET_SCHEMA = "transformed"
 MARTS_SCHEMA = "transformed_marts"
 
 
+def raw_path(root: str, size: str) -> str:
+    return f"{root}/raw/{size}"
+
+
+def mart_paths(root: str, size: str) -> dict[str, str]:
+    return {name: f"{root}/marts/{size}/{name}" for name in MARTS}
+
+
 def extract(
     trips: DataFrame,
     scenario: Scenario,
@@ -42,7 +50,7 @@ def extract(
 
 def extract_to_parquet(trips: DataFrame, scenario: Scenario, root: str, **how) -> str:
     """Write the scenario's trips below ``root`` and return the folder."""
-    path = f"{root}/raw/{scenario.name}"
+    path = raw_path(root, scenario.name)
     write_parquet(extract(trips, scenario, **how), path)
     return path
 
@@ -70,7 +78,7 @@ def transform(
 ) -> dict[str, str]:
     """Marts from the raw Parquet folder, as one Parquet folder each."""
     marts = build_marts(stage_trips(read_trips(spark, raw), null_tip), zones)
-    paths = {name: f"{root}/marts/{size}/{name}" for name in MARTS}
+    paths = mart_paths(root, size)
     for name, path in paths.items():
         write_parquet(marts[name], path)
     return paths
