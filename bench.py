@@ -70,7 +70,8 @@ def three_marts(staged: DataFrame, areas: DataFrame) -> list[DataFrame]:
 
 
 def marts_one_pass(spark: SparkSession, sf_dir: str) -> None:
-    for df in pipeline.build_marts(stage_trips(trips(spark, sf_dir)), zones(spark, sf_dir)).values():
+    staged = stage_trips(trips(spark, sf_dir))
+    for df in pipeline.build_marts(staged, zones(spark, sf_dir)).values():
         drain(df)
 
 

@@ -45,7 +45,9 @@ def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] = TRIP_COLUMN
     order_mod = F.col("l_orderkey") % 50
     start_hour = (F.col("l_partkey") * 7 + F.col("l_suppkey")) % 24
     expressions = {
-        "unique_key": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+        "unique_key": F.concat(
+            F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
+        ),
         "trip_start_timestamp": F.when(
             F.col("l_partkey") % 500 != 0,
             F.col("l_shipdate") + F.make_dt_interval(hours=start_hour.cast("int")),

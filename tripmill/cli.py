@@ -55,7 +55,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.step == "extract":
         pipeline.extract_to_parquet(trips(), scenario, args.root)
     elif args.step == "transform":
-        pipeline.transform(spark, pipeline.raw_path(args.root, args.size), zones(), args.size, args.root)
+        raw = pipeline.raw_path(args.root, args.size)
+        pipeline.transform(spark, raw, zones(), args.size, args.root)
     elif args.step == "load":
         ensure_schema(spark, args.schema)
         pipeline.load(spark, pipeline.mart_paths(args.root, args.size), args.size, args.schema)
