@@ -48,14 +48,17 @@ def null_rates_long(trips: DataFrame, columns: Sequence[str] = AUDITED) -> DataF
     )
 
 
-def value_table(trips: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
-    """Distinct values of each column with their counts, written to scratch.
+def value_table(
+    trips: DataFrame, columns: Sequence[str] = MEASURES, path: str | None = None
+) -> DataFrame:
+    """Distinct values of each column with their counts, written to ``path``,
+    or below the shared scratch folder.
 
     This is the only read of the trips that the summary, the histogram and the
     density need; all three take the table it returns, and pass over it several
     times without adding the values up again.
     """
-    return materialise(dist.value_counts(trips, columns))
+    return materialise(dist.value_counts(trips, columns), path)
 
 
 def describe(values: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
