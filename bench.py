@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import QUERIES  # noqa: E402
 from checks.trips_view import trips, zones  # noqa: E402
-from tripmill.plans import marts, pipeline  # noqa: E402
+from tripmill.plans import marts, runs  # noqa: E402
 from tripmill.plans.staging import stage_trips  # noqa: E402
 from tripmill.scratch import materialise  # noqa: E402
 
@@ -71,7 +71,7 @@ def three_marts(staged: DataFrame, areas: DataFrame) -> list[DataFrame]:
 
 def marts_one_pass(spark: SparkSession, sf_dir: str) -> None:
     staged = stage_trips(trips(spark, sf_dir))
-    for df in pipeline.build_marts(staged, zones(spark, sf_dir)).values():
+    for df in runs.build_marts(staged, zones(spark, sf_dir)).values():
         drain(df)
 
 

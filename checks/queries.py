@@ -18,7 +18,7 @@ from tripmill.functions.measures import speed_mph, tip_percent
 from tripmill.operators.dedup import any_per_key, first_per_key
 from tripmill.operators.selection import in_window, sample_rows, valid_trips
 from tripmill.operators.zone_join import with_pickup_zone, with_zone_pair
-from tripmill.plans import marts, pipeline, profile
+from tripmill.plans import marts, profile, runs
 from tripmill.plans.staging import stage_trips
 from tripmill.scenario import sized_name
 from tripmill.schema import AUDITED, MEASURES
@@ -50,14 +50,14 @@ def scan_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = pipeline.extract_to_parquet(trips(spark, sf_dir), SMALL, scratch_dir(spark))
+    path = runs.extract_to_parquet(trips(spark, sf_dir), SMALL, scratch_dir(spark))
     return read_trips(spark, path)
 
 
 def _raw_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     schema = f"raw_{uuid.uuid4().hex}"
     ensure_schema(spark, schema, scratch_dir(spark))
-    return schema, pipeline.extract_to_table(trips(spark, sf_dir), SMALL, schema)
+    return schema, runs.extract_to_table(trips(spark, sf_dir), SMALL, schema)
 
 
 def raw_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def zone_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _publish_elt(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     run = uuid.uuid4().hex
-    return pipeline.run_elt(
+    return runs.run_elt(
         spark,
         trips(spark, sf_dir),
         zones(spark, sf_dir),
@@ -95,13 +95,13 @@ def _publish_etl(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     schema = f"transformed_marts_{uuid.uuid4().hex}"
     folder = scratch_dir(spark)
     ensure_schema(spark, schema, f"{folder}/{schema}")
-    return pipeline.run_etl(
+    return runs.run_etl(
         spark, trips(spark, sf_dir), zones(spark, sf_dir), SMALL, folder, schema, all_columns=False
     )
 
 
 def publish_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.table_counts(spark, _publish_elt(spark, sf_dir))
+    return runs.table_counts(spark, _publish_elt(spark, sf_dir))
 
 
 def published_dynamics(spark: SparkSession, sf_dir: str) -> DataFrame:

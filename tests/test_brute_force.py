@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from conftest import utc
 from tripmill.operators.dedup import SURVIVOR_ORDER
-from tripmill.plans.pipeline import build_marts
+from tripmill.plans.runs import build_marts
 from tripmill.plans.staging import stage_trips
 
 NAMES = {8: "North", 32: "Loop", 76: "O'Hare"}

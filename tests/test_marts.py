@@ -8,7 +8,7 @@ from checks.trips_view import zones as zones_view
 from conftest import SF_DIR, bag, utc
 from tripmill.operators.zone_join import with_pickup_zone, with_zone_pair
 from tripmill.plans import marts
-from tripmill.plans.pipeline import build_marts
+from tripmill.plans.runs import build_marts
 from tripmill.plans.staging import stage_trips
 from tripmill.schema import MARTS
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from checks.trips_view import SCENARIOS, trips as trips_view, zones as zones_view
 from conftest import SF_DIR, bag, utc
 from tripmill.cli import main
-from tripmill.plans import marts, pipeline
+from tripmill.plans import marts, runs
 from tripmill.plans.staging import stage_trips
 from tripmill.schema import MARTS, TRIP_COLUMNS
 from tripmill.sinks.tables import (
@@ -30,7 +30,7 @@ def counts(frames):
 
 def test_elt_run_twice_gives_the_same_tables(spark, inputs):
     trips, zones = inputs
-    staged = stage_trips(pipeline.extract(trips, SMALL))
+    staged = stage_trips(runs.extract(trips, SMALL))
     want = counts({
         "mart_dynamika_ruchu": marts.traffic_dynamics(staged, zones),
         "mart_finanse": marts.finance(staged),
@@ -38,12 +38,12 @@ def test_elt_run_twice_gives_the_same_tables(spark, inputs):
     })
     seen = []
     for _ in range(2):
-        targets = pipeline.run_elt(spark, trips, zones, SMALL)
+        targets = runs.run_elt(spark, trips, zones, SMALL)
         assert targets == {m: f"transformed_marts.{m}_small" for m in MARTS}
         assert counts({m: spark.table(t) for m, t in targets.items()}) == want
         seen.append(bag(spark.table(targets["mart_trasy"])))
     assert seen[0] == seen[1]
-    assert bag(spark.table("raw.taxi_trips_small")) == bag(pipeline.extract(trips, SMALL))
+    assert bag(spark.table("raw.taxi_trips_small")) == bag(runs.extract(trips, SMALL))
     assert bag(spark.table("transformed_staging.dim_strefy_chicago_small")) == bag(zones)
     view = spark.table("transformed_staging.stg_taxi_trips_small")
     assert view.columns == staged.columns
@@ -51,12 +51,12 @@ def test_elt_run_twice_gives_the_same_tables(spark, inputs):
 
 
 def test_view_follows_its_table(spark, make_trips, zones):
-    scenario = pipeline.Scenario("tiny", utc(2022, 1, 1).replace(tzinfo=None),
+    scenario = runs.Scenario("tiny", utc(2022, 1, 1).replace(tzinfo=None),
                                  utc(2023, 1, 1).replace(tzinfo=None))
-    pipeline.run_elt(spark, make_trips({}), zones, scenario)
+    runs.run_elt(spark, make_trips({}), zones, scenario)
     name = "transformed_staging.stg_taxi_trips_tiny"
     assert spark.table(name).count() == 1
-    pipeline.extract_to_table(make_trips({}, {"unique_key": "b"}), scenario)
+    runs.extract_to_table(make_trips({}, {"unique_key": "b"}), scenario)
     assert spark.table(name).count() == 2
 
 
@@ -84,11 +84,11 @@ def test_etl_run_twice(spark, inputs, tmp_path):
     trips, zones = inputs
     ensure_schema(spark, "etl_marts")
     root = str(tmp_path)
-    finance = marts.finance(stage_trips(pipeline.extract(trips, SMALL), "ignore"))
+    finance = marts.finance(stage_trips(runs.extract(trips, SMALL), "ignore"))
     for _ in range(2):
-        targets = pipeline.run_etl(spark, trips, zones, SMALL, root, "etl_marts")
+        targets = runs.run_etl(spark, trips, zones, SMALL, root, "etl_marts")
         assert spark.table(targets["mart_finanse"]).count() == finance.count()
-        rows = pipeline.table_counts(spark, targets).collect()
+        rows = runs.table_counts(spark, targets).collect()
         assert [r.cel for r in rows] == sorted(MARTS) and all(r.wiersze for r in rows)
     for mart in MARTS:
         assert bag(spark.read.parquet(f"{root}/marts/small/{mart}")) == bag(
@@ -98,12 +98,12 @@ def test_etl_run_twice(spark, inputs, tmp_path):
 
 def test_extract_keeps_all_or_only_needed_columns(spark, make_trips, tmp_path):
     trips = make_trips({}).withColumn("company", F.lit("x"))
-    scenario = pipeline.Scenario("s", utc(2022, 1, 1).replace(tzinfo=None),
+    scenario = runs.Scenario("s", utc(2022, 1, 1).replace(tzinfo=None),
                                  utc(2023, 1, 1).replace(tzinfo=None))
-    path = pipeline.extract_to_parquet(trips, scenario, str(tmp_path))
+    path = runs.extract_to_parquet(trips, scenario, str(tmp_path))
     assert path == f"{tmp_path}/raw/s"
     assert spark.read.parquet(path).columns == [*TRIP_COLUMNS, "company"]
-    pipeline.extract_to_parquet(trips, scenario, str(tmp_path), all_columns=False)
+    runs.extract_to_parquet(trips, scenario, str(tmp_path), all_columns=False)
     assert spark.read.parquet(path).columns == TRIP_COLUMNS
 
 
@@ -128,7 +128,7 @@ def test_unreadable_mart_folder_fails_only_its_target(spark, tmp_path):
     written = []
     paths = {"mart_finanse": f"{tmp_path}/absent", "mart_trasy": good}
     with pytest.raises(PublishError):
-        pipeline.load(spark, paths, "small", None, lambda df, name: written.append(df.count()))
+        runs.load(spark, paths, "small", None, lambda df, name: written.append(df.count()))
     assert written == [3]
 
 

@@ -1,7 +1,7 @@
 """Batch analytics over taxi trips, as plain Spark DataFrame code."""
 
 from tripmill.plans.marts import finance, mart_sums, marts_from_sums, routes, traffic_dynamics
-from tripmill.plans.pipeline import build_marts, run_elt, run_etl
+from tripmill.plans.runs import build_marts, run_elt, run_etl
 from tripmill.plans.staging import stage_trips
 from tripmill.scenario import SCENARIOS, Scenario
 from tripmill.sources.trips import load_trips, read_trips, trips_table

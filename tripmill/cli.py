@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.plans import pipeline
+from tripmill.plans import runs
 from tripmill.scenario import DEFAULT_SIZE, SCENARIOS
 from tripmill.sinks.tables import ensure_schema
 from tripmill.sources.trips import read_trips, trips_table
@@ -34,7 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     step("extract", "cut the trips to the window, as Parquet", source=True, root=True)
     step("transform", "build the marts from the extract, as Parquet", root=True, zones=True)
     load = step("load", "publish the mart folders as tables", root=True)
-    load.add_argument("--schema", default=pipeline.MARTS_SCHEMA)
+    load.add_argument("--schema", default=runs.MARTS_SCHEMA)
     elt = step("elt", "raw table, staging view and mart tables", source=True, zones=True)
     elt.add_argument("--location", help="folder for schemas that do not exist yet")
     return parser
@@ -53,12 +53,12 @@ def main(argv: Sequence[str] | None = None) -> None:
         return read_zones(spark, args.zones) if args.zones else chicago_zones(spark)
 
     if args.step == "extract":
-        pipeline.extract_to_parquet(trips(), scenario, args.root)
+        runs.extract_to_parquet(trips(), scenario, args.root)
     elif args.step == "transform":
-        raw = pipeline.raw_path(args.root, args.size)
-        pipeline.transform(spark, raw, zones(), args.size, args.root)
+        raw = runs.raw_path(args.root, args.size)
+        runs.transform(spark, raw, zones(), args.size, args.root)
     elif args.step == "load":
         ensure_schema(spark, args.schema)
-        pipeline.load(spark, pipeline.mart_paths(args.root, args.size), args.size, args.schema)
+        runs.load(spark, runs.mart_paths(args.root, args.size), args.size, args.schema)
     else:
-        pipeline.run_elt(spark, trips(), zones(), scenario, location=args.location)
+        runs.run_elt(spark, trips(), zones(), scenario, location=args.location)
