@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import posixpath
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -20,6 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _ship(application: str) -> str:
+    package = Path(__file__).resolve().parent.parent
+    path = f"{tempfile.mkdtemp(prefix='tripmill-')}/tripmill.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session; they may not have it installed."""
+    spark.sparkContext.addPyFile(_ship(spark.sparkContext.applicationId))
+
+
 def keep(df: DataFrame, work: str, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` below the shared folder ``work`` and read it back.
 
@@ -86,5 +105,5 @@ def as_text(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 __all__ = [
     "as_text", "filesystem", "group_count", "keep", "materialise", "replacing", "row_ids",
-    "scratch_dir", "table", "texts_of", "workspace",
+    "scratch_dir", "ship", "table", "texts_of", "workspace",
 ]

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import id_files, packing
-from tripmill.llm.frames import scratch_dir, table
+from tripmill.llm import exact_dedup, id_files, packing
+from tripmill.llm.frames import scratch_dir, ship, table
 
 #: The vocabulary of the contracts; its path is a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,9 +36,38 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_files": op1_token_files,
-    "op5_best_fit_packing": op5_best_fit_packing,
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(table(spark, sf_dir, "documents")).drop("uid")
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: _shipped(query)
+    for query in (op1_token_files, op5_best_fit_packing, op6_exact_dedup)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        WITH n AS (
+            SELECT doc_id,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+            FROM documents
+        )
+        SELECT doc_id,
+               min(doc_id) OVER w AS keep_id,
+               CAST(count(*) OVER w AS BIGINT) AS group_size,
+               doc_id = min(doc_id) OVER w AS kept,
+               sha256(t) AS text_sha256
+        FROM n WINDOW w AS (PARTITION BY t)""",
+}
