@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import exact_dedup, id_files, packing
+from tripmill.llm import exact_dedup, id_files, near_dedup, packing
 from tripmill.llm.frames import scratch_dir, ship, table
 
 #: The vocabulary of the contracts; its path is a parameter of the operators.
@@ -40,6 +40,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf_dir, "documents")).drop("uid")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_copies(
+        table(spark, sf_dir, "documents"), size=5, threshold=85
+    ).drop("uid")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,7 +60,7 @@ def _shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
-    for query in (op1_token_files, op5_best_fit_packing, op6_exact_dedup)
+    for query in (op1_token_files, op5_best_fit_packing, op6_exact_dedup, op7_near_dedup)
 }
 
 ORACLE: dict[str, str] = {
