@@ -1,0 +1,218 @@
+"""Operator 3: scan for secrets, with password guess costs.
+
+Three kinds are found by pattern, leftmost and without overlap in each kind:
+``assign`` (a credential word, a separator and a value of 8 characters or more),
+``access`` (a key id) and ``hex`` (a long hexadecimal run).
+
+Kind ``guess`` adds the values in credential contexts that would take many
+guesses. The cost of a value is the least sum, over all ways to cut it into
+spans, of what each span costs a guesser: a known word by its rank, a date, a
+repetition, a walk over neighbouring keys, or characters tried one by one. The
+dynamic program keeps the least cost of each beginning of the value; spans other
+than brute force have a bounded length, so its time grows with the length alone.
+
+Positions are code points, ends are exclusive. Defined cases: a null text is
+empty; a text without finds has the digest of the empty string; ids may repeat or
+be null.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from tripmill.llm.frames import as_text
+
+KINDS = ("assign", "access", "hex", "guess")
+#: Bits of guessing from which a value counts as a secret.
+LEAST_BITS = 28.0
+
+_CASELESS = re.ASCII | re.IGNORECASE
+_ASSIGN = re.compile(
+    r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+    _CASELESS,
+)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
+_HEX = re.compile(r"[0-9a-f]{32,}")
+#: A wider context, and values of any characters but space and quotes.
+_CONTEXT = re.compile(
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private)[_-]?key)"
+    r"[\"']?\x20*(?:[:=]|\x20is\x20)\x20*[\"']?([^\s\"'<>]{6,})",
+    _CASELESS,
+)
+#: One of these occurs, in lower case, wherever either pattern matches.
+_HINTS = ("pass", "pwd", "secret", "token", "credential", "key")
+
+# Frequent words of passwords, the most frequent first.
+_WORDS = (
+    "password", "qwerty", "abc", "love", "admin", "welcome", "monkey", "dragon", "letmein",
+    "login", "master", "secret", "hello", "iloveyou", "princess", "sunshine", "football",
+    "baseball", "shadow", "superman", "michael", "ninja", "mustang", "jesus", "test", "pass",
+    "user", "root", "guest", "default", "changeme", "change", "me", "my", "the", "your", "our",
+    "not", "none", "null", "true", "false", "example", "sample", "dummy", "demo", "temp",
+    "server", "system", "access", "token", "key", "api", "value", "string", "here", "name",
+    "batman", "trustno", "hunter", "summer", "winter", "spring", "autumn", "monday", "friday",
+    "january", "july", "august", "october", "december", "flower", "cookie", "cheese", "purple",
+    "orange", "banana", "pepper", "killer", "soccer", "hockey", "tiger", "eagle", "star", "angel",
+    "baby", "lucky", "magic", "money", "happy", "freedom", "computer", "internet", "office",
+)
+_RANK = {word: rank for rank, word in enumerate(_WORDS, 1)}
+_LONGEST_WORD = max(map(len, _WORDS))
+# The rows of a keyboard.
+_ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
+_PLACE = {c: (x, y) for y, row in enumerate(_ROWS) for x, c in enumerate(row)}
+_LEET = str.maketrans("013457@$!", "oieastasi")
+_DATE = re.compile(
+    r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])"
+    r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d"
+    r"|(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])[-/.]?(?:19|20)\d\d"
+    r"|(?:19|20)\d\d"
+)
+_DATE_BITS, _YEAR_BITS = math.log2(366 * 130 * 3), math.log2(130)
+_WALK_START, _WALK_STEP = math.log2(len(_PLACE)), 1.0
+_LONGEST_WALK, _LONGEST_UNIT = 32, 4
+
+
+def _char_bits(c: str) -> float:
+    if c.isdigit():
+        return math.log2(10)
+    if c.isalpha():
+        return math.log2(26 if c.isascii() else 100) + c.isupper()
+    return math.log2(33)
+
+
+def _spans(value: str, at: int) -> Iterator[tuple[int, float]]:
+    """End and cost in bits of each span from ``at`` that is not brute force."""
+    low = value.lower()
+    plain = low.translate(_LEET)
+    n = len(value)
+    for end in range(at + 2, min(n, at + _LONGEST_WORD) + 1):
+        rank = _RANK.get(low[at:end]) or 2 * _RANK.get(plain[at:end], 0)
+        if rank:
+            yield end, math.log2(rank + 1) + any(c.isupper() for c in value[at:end])
+    date = _DATE.match(value, at)
+    if date:
+        yield date.end(), _YEAR_BITS if date.end() - at == 4 else _DATE_BITS
+    for unit in range(1, _LONGEST_UNIT + 1):
+        end = at + unit
+        while value[end : end + unit] == value[at : at + unit] and end + unit <= n:
+            end += unit
+        if end > at + max(2, unit):
+            yield end, sum(map(_char_bits, value[at : at + unit])) + math.log2((end - at) / unit)
+    end, turns, before = at + 1, 0, None
+    while end < n and end - at < _LONGEST_WALK:
+        a, b = _PLACE.get(low[end - 1]), _PLACE.get(low[end])
+        if a is None or b is None:
+            break
+        step = (b[0] - a[0], b[1] - a[1])
+        if max(map(abs, step)) != 1:
+            break
+        turns += step != before
+        before = step
+        end += 1
+        if end - at >= 3:
+            yield end, _WALK_START + _WALK_STEP * turns * 2 + math.log2(end - at)
+
+
+def guess_bits(value: str) -> float:
+    """The least cost of guessing ``value``, in bits.
+
+    Each span after the first costs a bit more, for the choice of cutting there.
+    """
+    value = value.translate({0: " "})
+    best = [0.0] + [math.inf] * len(value)
+    repeated = 0
+    for at, c in enumerate(value):
+        best[at + 1] = min(best[at + 1], best[at] + _char_bits(c))
+        # Inside a long repetition the span from its start says it all.
+        repeated = repeated + 1 if at and c == value[at - 1] else 0
+        if repeated > 2 * _LONGEST_UNIT:
+            continue
+        for end, bits in _spans(value, at):
+            best[end] = min(best[end], best[at] + bits + (at > 0))
+    return best[-1]
+
+
+def find(text: str, least_bits: float = LEAST_BITS) -> list[tuple[str, int, int]]:
+    """Kind, start and end of each find, by start and then in the order of ``KINDS``."""
+    found: list[tuple[int, int, int]] = []
+    low = text.lower()
+    if any(hint in low for hint in _HINTS):
+        found += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
+        found += [
+            (m.start(1), 3, m.end(1))
+            for m in _CONTEXT.finditer(text)
+            if guess_bits(m[1]) >= least_bits
+        ]
+    if "AKIA" in text:
+        found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
+    found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
+    return [(KINDS[kind], start, end) for start, kind, end in sorted(found)]
+
+
+def redacted(text: str, mask: str = "[secret]") -> str:
+    """``text`` with all finds, joined where they overlap, replaced by ``mask``."""
+    out, at, reached = [], 0, 0
+    for _, start, end in find(text):
+        if start >= reached:
+            out += [text[at:start], mask]
+        reached = max(reached, end)
+        at = reached
+    return "".join([*out, text[at:]])
+
+
+def _joined(spans: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = [find(t) for t in batch.column("text").to_pylist()]
+        base = [_joined([s for s in own if s[0] != "guess"]) for own in spans]
+        yield pa.record_batch({
+            "doc_id": batch.column("doc_id"),
+            **{
+                f"n_{kind}": pa.array([sum(s[0] == kind for s in own) for own in spans], pa.int64())
+                for kind in KINDS
+            },
+            "base_sha256": pa.array(
+                [hashlib.sha256(b.encode()).hexdigest() for b in base], pa.string()
+            ),
+            "spans": pa.array([_joined(own) for own in spans], pa.string()),
+        })
+
+
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id``, how many finds of each kind, ``base_sha256`` and ``spans`` for each row."""
+    counts = ", ".join(f"n_{kind} long" for kind in KINDS)
+    return as_text(docs, id_column, text_column).mapInArrow(
+        _scan, f"doc_id long, {counts}, base_sha256 string, spans string"
+    )
+
+
+def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [t if t is None else redacted(t) for t in batch.column("text").to_pylist()]
+        columns = {name: batch.column(name) for name in batch.schema.names}
+        columns["text"] = pa.array(texts, batch.schema.field("text").type)
+        if "n_chars" in columns:
+            old = columns["n_chars"].to_pylist()
+            changed = [a != b for a, b in zip(batch.column("text").to_pylist(), texts, strict=True)]
+            columns["n_chars"] = pa.array(
+                [len(t) if c else n for t, n, c in zip(texts, old, changed, strict=True)],
+                batch.schema.field("n_chars").type,
+            )
+        yield pa.record_batch(columns)
+
+
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` with the secrets in ``text`` masked.
+
+    ``n_chars``, where there is one, follows the text if that has changed.
+    """
+    return docs.mapInArrow(_redact, docs.schema)

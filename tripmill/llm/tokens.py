@@ -1,22 +1,86 @@
 """Token ids of whole texts, by the tokenizers library.
 
-A byte-level tokenizer cuts a text at every space before it merges anything, as
-long as no two spaces meet. So each worker keeps the ids of words it has met,
-and the library encodes a word once and not at each of its places.
+A byte-level tokenizer cuts a text before it merges anything: at every single
+space or line feed between other characters, and between letters and punctuation.
+So each worker keeps the ids of words it has met, and the library works on a word
+once and not at each of its places. Texts and words of any other shape go through
+the library whole.
 """
 
 from __future__ import annotations
 
 import os
-import zlib
+import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-#: Words kept by a worker, at about 250 bytes each.
-KEPT_WORDS = 300_000
+#: Words kept by a worker, at about 200 bytes each, in each of two generations.
+KEPT_WORDS = 250_000
+
+# Letters that are letters in every version of Unicode, then marks but for the
+# apostrophe, which can begin a contraction.
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if printable, else from 256 up."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Words(dict):
+    """Ids by word. A word stands for itself with a space before it, unless it
+    begins with a line feed."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self._tokenizer = tokenizer
+        self._merge = tokenizer.model.tokenize
+        self._letters = _byte_letters()
+        self._space = self._letters[0x20]
+        size = tokenizer.get_vocab_size(with_added_tokens=True)
+        self._bytes = [i.to_bytes(4, "little") for i in range(size)]
+        self._older: dict[str, bytes] = {}
+
+    def _ids(self, shown: str) -> bytes:
+        return b"".join([self._bytes[t.id] for t in self._merge(shown)])
+
+    def _merged(self, part: str) -> bytes:
+        """Ids of a part that the tokenizer does not cut."""
+        if not part:
+            return b""
+        return self._ids(part.encode("utf-8").decode("latin-1").translate(self._letters))
+
+    def whole(self, text: str) -> bytes:
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def _made(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self._ids(self._space + word)
+        shape = _PLAIN.fullmatch(word)
+        if not shape:
+            return self.whole(word if word[0] == "\n" else " " + word)
+        feed, letters, marks = shape.groups()
+        if feed:
+            return self._merged(feed) + self._merged(letters) + self._merged(marks)
+        if letters and marks:
+            return self[letters] + self._merged(marks)
+        return self._merged(" " + word)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._made(word)
+        if len(self) >= KEPT_WORDS:
+            self._older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
 
 class Encoder:
@@ -26,40 +90,22 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        self._special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self._end = np.array([end_id], "<u4").tobytes()
-        self._words: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _by_word(self, text: str) -> bool:
-        return "  " not in text and not any(s in text for s in self._special)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        whole: list[str] = []
-        wanted: set[str] = set()
-        for text in texts:
-            if self._by_word(text):
-                first, *rest = text.split(" ")
-                pieces = [first, *[" " + w for w in rest]]
-                wanted.update(pieces)
-                split.append(pieces)
-            else:
-                whole.append(text)
-                split.append(None)
-        missing = list(wanted - self._words.keys())
-        if len(self._words) + len(missing) > KEPT_WORDS:
-            self._words = {w: self._words[w] for w in wanted & self._words.keys()}
-        self._words.update(zip(missing, self._encoded(missing), strict=True))
-        words, others = self._words, iter(self._encoded(whole))
-        return [
-            (next(others) if pieces is None else b"".join([words[w] for w in pieces])) + self._end
-            for pieces in split
-        ]
+        self._words = _Words(tokenizer)
+
+    def encode(self, text: str) -> bytes:
+        words = self._words
+        # Only single spaces and line feeds, each between two words, and no
+        # special token that is spelt out.
+        by_word = text.replace("\n", " ").split(" ") == text.split()
+        if not by_word or any(x in text for x in self._special):
+            return words.whole(text) + self._end
+        # A word at the start has no space before it.
+        first, *rest = text.replace("\n", " \n").split(" ")
+        ids = b"".join(map(words.__getitem__, rest))
+        return (words.whole(first) if first else b"") + ids + self._end
 
 
 @cache
@@ -76,8 +122,4 @@ def encoded_batches(
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
-            yield part, encode([x or "" for x in part.column("text").to_pylist()])
-
-
-def crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)
+            yield part, [encode(x or "") for x in part.column("text").to_pylist()]
