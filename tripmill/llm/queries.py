@@ -7,8 +7,19 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tripmill.llm import exact_dedup, id_files, near_dedup, packing
+from pyspark.sql import functions as F
+
+from tripmill.llm import (
+    exact_dedup,
+    id_files,
+    langid,
+    near_dedup,
+    packing,
+    secret_scan,
+    topk,
+    toxicity,
+    url_filter,
+)
 from tripmill.llm.frames import scratch_dir, ship, table
 
 #: The vocabulary of the contracts; its path is a parameter of the operators.
@@ -30,6 +41,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_token_files(files, ids_of)
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256
+    )
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def _remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), held_out=_remainder(4) == 2)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents"), TOKENIZER, END_ID, capacity=1024
@@ -46,6 +75,31 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("uid")
 
 
+#: Rules of the contract, and words of host names that stand for unwanted sites.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+UNWANTED = r"(^|[.-])(spam|bets|casino|pills|adult|ads)([.-]|$)"
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(
+        table(spark, sf_dir, "pages"), URL_RULES, listed=F.col("key").rlike(UNWANTED)
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        held_out=_remainder(5) == 0,
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -60,10 +114,70 @@ def _shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
-    for query in (op1_token_files, op5_best_fit_packing, op6_exact_dedup, op7_near_dedup)
+    for query in (
+        op1_token_files,
+        op2_exact_top_k,
+        op3_secret_scan,
+        op4_language_id,
+        op5_best_fit_packing,
+        op6_exact_dedup,
+        op7_near_dedup,
+        op8_url_filter,
+        op9_toxicity,
+    )
 }
 
 ORACLE: dict[str, str] = {
+    "op2_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id,
+                   list_transform(embedding,
+                                  lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))
+                       AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))
+                        AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        )
+        SELECT query_id,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+                    AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY rank <= 5""",
+    "op8_url_filter": r"""
+        WITH parts AS (
+            SELECT page_id,
+                   CASE WHEN contains(url, '://')
+                        THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), named AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM parts
+        ), ruled AS (
+            SELECT *, '.' || host AS dotted,
+                   CASE WHEN dotted LIKE '%.www.example.com' AND path LIKE '/en/%'
+                        THEN 'www.example.com/en/'
+                        WHEN dotted LIKE '%.example.com' AND path LIKE '/en/%'
+                        THEN 'example.com/en/'
+                        WHEN dotted LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+                        WHEN dotted LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+                        WHEN dotted LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule
+            FROM named
+        )
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                    WHEN rule IS NOT NULL THEN 'block'
+                    WHEN regexp_matches(host, '(^|[.-])(spam|bets|casino|pills|adult|ads)([.-]|$)')
+                    THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled""",
     "op6_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id,
