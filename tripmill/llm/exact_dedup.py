@@ -27,9 +27,17 @@ import pyarrow.dataset as ds
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.frames import as_text, filesystem, keep, row_ids, workspace
-
-_ROWS = "uid long, doc_id long, entry long, key binary, size long, text binary"
+from tripmill.llm.frames import (
+    as_text,
+    digest,
+    filesystem,
+    keep,
+    row_ids,
+    rows_that_stay,
+    workspace,
+)
+
+_ROWS = "uid long, doc_id long, digest long, entry long, key binary, size long, text binary"
 _OWNED = "entry long, class long, key binary"
 #: Bytes of distinct texts that a task holds to find its own copies.
 HELD_BYTES = 48 << 20
@@ -72,6 +80,7 @@ def _local_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.record_batch({
             "uid": uids,
             "doc_id": batch.column("doc_id"),
+            "digest": batch.column("digest"),
             "entry": own,
             "key": pc.if_else(first, batch.column("key"), nothing),
             "size": pc.cast(pc.binary_length(batch.column("text")), pa.int64()),
@@ -178,7 +187,7 @@ def exact_copies(
     bucket_rows: int = 8192,
     bucket_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """``uid, doc_id, keep_id, group_size, kept, text_sha256`` for each row of ``docs``.
+    """``uid, doc_id, digest, keep_id, group_size, kept, text_sha256`` for each row.
 
     ``bucket_rows`` and ``bucket_bytes`` are the capacity of a bucket.
     """
@@ -186,9 +195,10 @@ def exact_copies(
     work = workspace(spark, work)
     rows = (
         as_text(docs, id_column, text_column)
-        .select("doc_id", normalised().alias("text"))
+        .select("doc_id", digest().alias("digest"), normalised().alias("text"))
         .select(
             "doc_id",
+            "digest",
             F.unhex(F.sha2("text", 256)).alias("key"),
             F.encode("text", "UTF-8").alias("text"),
         )
@@ -196,7 +206,7 @@ def exact_copies(
     )
     index = Index(work, bucket_rows, bucket_bytes)
     bits = max(1, math.ceil(math.log2(max(2, docs.count() / (bucket_rows / 4)))))
-    members = index.add(rows, bits).select("uid", "doc_id", "entry")
+    members = index.add(rows, bits).select("uid", "doc_id", "digest", "entry")
     ranges = index.owners(2 * spark.sparkContext.defaultParallelism)
     owned = keep(
         spark.createDataFrame([(paths,) for paths in ranges], "paths array<string>")
@@ -220,8 +230,15 @@ def exact_copies(
     return members.join(results, "entry").select(
         "uid",
         "doc_id",
+        "digest",
         F.col("first.doc_id").alias("keep_id"),
         "group_size",
         (F.col("uid") == F.col("first.uid")).alias("kept"),
         F.lower(F.hex("key")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, work: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each text."""
+    work = workspace(docs.sparkSession, work)
+    return rows_that_stay(docs, exact_copies(docs, work=work), work)

@@ -14,7 +14,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.scratch import materialise, scratch_dir
@@ -103,7 +103,46 @@ def as_text(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def digest(text: str = "text") -> Column:
+    """A short digest of a text, which tells rows with one id apart."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
+#: Rows of 16 bytes that a decision on documents sends to all tasks at most.
+SENT_ROWS = 1_000_000
+
+
+def rows_that_stay(docs: DataFrame, decisions: DataFrame, work: str) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``decisions`` keep.
+
+    ``decisions`` has ``doc_id``, ``digest`` and ``kept`` for every row of ``docs``,
+    which has ``doc_id`` and ``text``. Where rows agree in id and text and
+    one of them stays, one does.
+    """
+    marks = decisions.groupBy("doc_id", "digest").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("n")
+    )
+    marks = keep(marks.filter("NOT kept OR n > 1"), work, "marks")
+    names = {"doc_id": "_id_of_mark", "digest": "_digest_of_mark"}
+    sides = []
+    for wanted in ("NOT kept", "kept"):
+        side = marks.filter(wanted).select(*[F.col(a).alias(b) for a, b in names.items()])
+        n = side.count()
+        sides.append((F.broadcast(side) if n <= SENT_ROWS else side, n))
+    (gone, n_gone), (doubled, n_doubled) = sides
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col("_id_of_mark")) & (
+        digest() == F.col("_digest_of_mark")
+    )
+    left = docs.join(gone, own, "left_anti") if n_gone else docs
+    if n_doubled:
+        columns = left.columns
+        one = left.join(doubled, own, "left_semi").withColumn("_digest_of_row", digest())
+        one = one.dropDuplicates(["doc_id", "_digest_of_row"]).select(*[F.col(f"`{c}`") for c in columns])
+        left = left.join(doubled, own, "left_anti").union(one)
+    return left
+
+
 __all__ = [
-    "as_text", "filesystem", "group_count", "keep", "materialise", "replacing", "row_ids",
-    "scratch_dir", "ship", "table", "texts_of", "workspace",
+    "as_text", "digest", "filesystem", "group_count", "keep", "materialise", "replacing", "row_ids",
+    "rows_that_stay",     "scratch_dir", "ship", "table", "texts_of", "workspace",
 ]

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.components import components
-from tripmill.llm.frames import as_text, keep, row_ids, workspace
+from tripmill.llm.frames import as_text, digest, keep, row_ids, rows_that_stay, workspace
 
 HASHES, BITS = 256, 2
 BANDS, BAND_ROWS = 32, 4
@@ -133,7 +133,7 @@ def least_equal(threshold: float) -> int:
 
 # Tasks
 
-_SIGNED = "uid long, doc_id long, n int, class binary, bands array<long>, sig binary"
+_SIGNED = "uid long, doc_id long, digest long, n int, class binary, bands array<long>, sig binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -157,6 +157,7 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield pa.record_batch({
             "uid": uids,
             "doc_id": batch.column("doc_id"),
+            "digest": batch.column("digest"),
             "n": pa.array(n, pa.int32()),
             "class": pa.array(class_, pa.binary()),
             "bands": pa.array(bands, pa.list_(pa.int64())),
@@ -242,7 +243,8 @@ class _Search:
     def __init__(self, docs: DataFrame, size: int, threshold: int, work: str):
         self.docs, self.size, self.threshold, self.work = docs, size, threshold, work
         self.fewest = least_equal(threshold / 100)
-        self.signed = keep(docs.mapInArrow(partial(_sign, size=size), _SIGNED), work, "signed")
+        signed = docs.withColumn("digest", digest())
+        self.signed = keep(signed.mapInArrow(partial(_sign, size=size), _SIGNED), work, "signed")
         # Rows of one class have the same bands and signature.
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
         classes = (
@@ -400,7 +402,7 @@ def near_copies(
     threshold: int = 80,
     work: str | None = None,
 ) -> DataFrame:
-    """``uid, doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
+    """``uid, doc_id, digest, n_shingles, component_id, kept`` for each row.
 
     Rows whose sets of ``size``-word shingles have a similarity of ``threshold``
     hundredths or more are linked; a component keeps its smallest id.
@@ -414,7 +416,17 @@ def near_copies(
     return search.signed.join(stays, "class", "left").select(
         "uid",
         "doc_id",
+        "digest",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("stays.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
         ((F.col("n") == 0) | (F.col("uid") == F.col("stays.uid"))).alias("kept"),
     )
+
+
+def without_near_copies(
+    docs: DataFrame, size: int = 5, threshold: int = 80, work: str | None = None
+) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each component."""
+    work = workspace(docs.sparkSession, work)
+    found = near_copies(docs, size=size, threshold=threshold, work=work)
+    return rows_that_stay(docs, found, work)

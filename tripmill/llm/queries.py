@@ -13,6 +13,7 @@ from tripmill.llm import (
     exact_dedup,
     id_files,
     langid,
+    lattice,
     near_dedup,
     packing,
     secret_scan,
@@ -20,11 +21,12 @@ from tripmill.llm import (
     toxicity,
     url_filter,
 )
-from tripmill.llm.frames import scratch_dir, ship, table
+from tripmill.llm.frames import keep, scratch_dir, ship, table
 
 #: The vocabulary of the contracts; its path is a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 VOCABULARY = 50_257
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
 
@@ -66,13 +68,13 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_copies(table(spark, sf_dir, "documents")).drop("uid")
+    return exact_dedup.exact_copies(table(spark, sf_dir, "documents")).drop("uid", "digest")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_copies(
         table(spark, sf_dir, "documents"), size=5, threshold=85
-    ).drop("uid")
+    ).drop("uid", "digest")
 
 
 #: Rules of the contract, and words of host names that stand for unwanted sites.
@@ -100,6 +102,23 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct word of all documents with its count, ids and decoded form."""
+    pieces = lattice.load_pieces(PIECES)
+    words = lattice.distinct_words(table(spark, sf_dir, "documents"))
+    encoded = lattice.encode_words(words, pieces)
+    work = scratch_dir(spark)
+    encoded = keep(encoded, work, "encoded")
+    decoded = lattice.decode_ids(encoded, pieces, "word")
+    return encoded.join(decoded, "word").select(
+        "word",
+        "n",
+        F.size("ids").alias("n_pieces"),
+        "ids",
+        F.col("text").alias("decoded"),
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -124,6 +143,7 @@ QUERIES: dict[str, Query] = {
         op7_near_dedup,
         op8_url_filter,
         op9_toxicity,
+        op10_piece_lattice,
     )
 }
 

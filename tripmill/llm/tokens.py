@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words kept by a worker, at about 200 bytes each, in each of two generations.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 600_000
 
 # Letters that are letters in every version of Unicode, then marks but for the
 # apostrophe, which can begin a contraction.
@@ -99,7 +99,7 @@ class Encoder:
         words = self._words
         # Only single spaces and line feeds, each between two words, and no
         # special token that is spelt out.
-        by_word = text.replace("\n", " ").split(" ") == text.split()
+        by_word = " ".join(text.split()) == text.replace("\n", " ")
         if not by_word or any(x in text for x in self._special):
             return words.whole(text) + self._end
         # A word at the start has no space before it.
