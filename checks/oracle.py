@@ -7,7 +7,6 @@ use other means than the DataFrame code does.
 from __future__ import annotations
 
 from checks.trips_view import SCENARIOS
-from tripmill.sources.zones import CHICAGO_ZONES
 
 _TRIPS = """trips AS (
     SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS unique_key,
@@ -23,9 +22,9 @@ _TRIPS = """trips AS (
                 ELSE l_extendedprice END AS trip_total,
            CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE l_returnflag END AS payment_type
     FROM lineitem
-    LEFT JOIN supplier ON l_suppkey = s_suppkey
-    LEFT JOIN orders ON l_orderkey = o_orderkey
-    LEFT JOIN customer ON o_custkey = c_custkey
+    JOIN supplier ON l_suppkey = s_suppkey
+    JOIN orders ON l_orderkey = o_orderkey
+    JOIN customer ON o_custkey = c_custkey
 )"""
 
 _ZONES = """zones AS (
@@ -33,10 +32,27 @@ _ZONES = """zones AS (
     FROM nation WHERE n_nationkey < 20
 )"""
 
+# The community areas in the order of their public numbers, written
+# down apart from the library's list.
+_AREA_NAMES = """
+    Rogers Park, West Ridge, Uptown, Lincoln Square, North Center, Lake View, Lincoln Park,
+    Near North Side, Edison Park, Norwood Park, Jefferson Park, Forest Glen, North Park,
+    Albany Park, Portage Park, Irving Park, Dunning, Montclare, Belmont Cragin, Hermosa,
+    Avondale, Logan Square, Humboldt Park, West Town, Austin, West Garfield Park,
+    East Garfield Park, Near West Side, North Lawndale, South Lawndale, Lower West Side, Loop,
+    Near South Side, Armour Square, Douglas, Oakland, Fuller Park, Grand Boulevard, Kenwood,
+    Washington Park, Hyde Park, Woodlawn, South Shore, Chatham, Avalon Park, South Chicago,
+    Burnside, Calumet Heights, Roseland, Pullman, South Deering, East Side, West Pullman,
+    Riverdale, Hegewisch, Garfield Ridge, Archer Heights, Brighton Park, McKinley Park,
+    Bridgeport, New City, West Elsdon, Gage Park, Clearing, West Lawn, Chicago Lawn,
+    West Englewood, Englewood, Greater Grand Crossing, Ashburn, Auburn Gresham, Beverly,
+    Washington Heights, Mount Greenwood, Morgan Park, O'Hare, Edgewater
+"""
+
 _CHICAGO = "zones(id_dzielnicy, nazwa_dzielnicy) AS (VALUES {})".format(
     ", ".join(
-        "({}, '{}')".format(i, name.replace("'", "''"))
-        for i, name in enumerate(CHICAGO_ZONES, start=1)
+        "({}, '{}')".format(i, " ".join(name.split()).replace("'", "''"))
+        for i, name in enumerate(_AREA_NAMES.split(","), start=1)
     )
 )
 
@@ -147,6 +163,21 @@ ORACLE: dict[str, str] = {
     "extract_roundtrip": _with(_TRIPS, f"SELECT * FROM trips WHERE {_SMALL}"),
     "raw_table_roundtrip": _with(_TRIPS, f"SELECT * FROM trips WHERE {_SMALL}"),
     "staging_view": _with(_TRIPS, _staged(window=_SMALL), "SELECT * FROM staged"),
+    "raw_table_whole": _with(
+        _TRIPS, "SELECT * FROM trips WHERE trip_start_timestamp IS NOT NULL"
+    ),
+    "sample_check": _with(
+        _TRIPS,
+        """SELECT COUNT(*) AS wszystkie, CAST(0 AS BIGINT) AS spoza_wejscia,
+               TRUE AS rozmiar_pasuje FROM trips""",
+    ),
+    "zone_names_chicago": _with(
+        _CHICAGO,
+        """SELECT CAST(o_orderkey % 78 + 1 AS BIGINT) AS pickup_community_area,
+               nazwa_dzielnicy AS dzielnica_odbioru, COUNT(*) AS liczba
+        FROM orders LEFT JOIN zones ON o_orderkey % 78 + 1 = id_dzielnicy
+        GROUP BY 1, 2""",
+    ),
     "zone_dim": _with(_ZONES, "SELECT * FROM zones"),
     "publish_marts": _with(
         _TRIPS,
@@ -175,7 +206,7 @@ ORACLE: dict[str, str] = {
                {_TIP_IGNORE} AS procent_ignore FROM trips""",
     ),
     "dedup_first_by_time": _with(_TRIPS, f"SELECT * FROM trips {_FIRST}"),
-    "dedup_any": _with(_TRIPS, "SELECT DISTINCT unique_key FROM trips"),
+    "dedup_any": _with(_TRIPS, "SELECT DISTINCT unique_key, TRUE AS z_wejscia FROM trips"),
     "stage_trips": _with(_TRIPS, _staged(), "SELECT * FROM staged"),
     "stage_trips_null_tip_ignored": _with(_TRIPS, _staged(*_IGNORED), "SELECT * FROM staged"),
     "zone_join_left": _with(
@@ -262,3 +293,15 @@ ORACLE: dict[str, str] = {
         GROUP BY g.kolumna, g.punkt, g.x, g.h, g.lo, g.hi""",
     ),
 }
+
+# Whole runs of every size. The file variant leaves missing tips out of the means.
+_TIPS = {"etl": _IGNORED, "elt": ("tips", _TIP_ZERO)}
+_MART_SQL = {
+    "mart_dynamika_ruchu": _DYNAMICS, "mart_finanse": _FINANCE, "mart_trasy": _ROUTES,
+}
+ORACLE |= {
+    f"{variant}_{mart}_{size}": _with(_TRIPS, _ZONES, _staged(*tips, window=_window(size)), sql)
+    for variant, tips in _TIPS.items()
+    for mart, sql in _MART_SQL.items()
+    for size in SCENARIOS
+}

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +23,9 @@ from tripmill.operators.selection import in_window, sample_rows, valid_trips
 from tripmill.operators.zone_join import with_pickup_zone, with_zone_pair
 from tripmill.plans import marts, profile, runs
 from tripmill.plans.staging import stage_trips
-from tripmill.scenario import sized_name
-from tripmill.schema import AUDITED, MEASURES
-from tripmill.scratch import scratch_dir
+from tripmill.scenario import Scenario, sized_name
+from tripmill.schema import AUDITED, MARTS, MEASURES
+from tripmill.scratch import materialise, scratch_dir
 from tripmill.sinks.tables import ensure_schema, replace_staging_view
 from tripmill.sources.trips import read_trips, trips_table
 from tripmill.sources.zones import chicago_zones, read_zones
@@ -78,25 +81,25 @@ def zone_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zones(spark, path)
 
 
-def _publish_elt(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _publish_elt(spark: SparkSession, sf_dir: str, size: str = "small") -> dict[str, str]:
     run = uuid.uuid4().hex
     return runs.run_elt(
         spark,
         trips(spark, sf_dir),
         zones(spark, sf_dir),
-        SMALL,
+        SCENARIOS[size],
         raw_schema=f"raw_{run}",
         target_schema=f"transformed_{run}",
         location=scratch_dir(spark),
     )
 
 
-def _publish_etl(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _publish_etl(spark: SparkSession, sf_dir: str, size: str = "small") -> dict[str, str]:
     schema = f"transformed_marts_{uuid.uuid4().hex}"
     folder = scratch_dir(spark)
     ensure_schema(spark, schema, f"{folder}/{schema}")
     return runs.run_etl(
-        spark, trips(spark, sf_dir), zones(spark, sf_dir), SMALL, folder, schema, all_columns=False
+        spark, trips(spark, sf_dir), zones(spark, sf_dir), SCENARIOS[size], folder, schema
     )
 
 
@@ -116,6 +119,21 @@ def published_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_publish_etl(spark, sf_dir)["mart_trasy"])
 
 
+def _published(run: Callable, mart: str, size: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A mart as a whole run of ``size`` publishes it."""
+    rounded = {"mart_dynamika_ruchu": _dynamics, "mart_finanse": _finance}.get(mart, lambda x: x)
+    return lambda spark, sf_dir: rounded(spark.table(run(spark, sf_dir, size)[mart]))
+
+
+def raw_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trip through Parquet, a catalog table and back."""
+    everything = Scenario("all", datetime(1900, 1, 1), datetime(2100, 1, 1))
+    path = runs.extract_to_parquet(trips(spark, sf_dir), everything, scratch_dir(spark))
+    schema = f"raw_{uuid.uuid4().hex}"
+    ensure_schema(spark, schema, scratch_dir(spark))
+    return trips_table(spark, runs.extract_to_table(read_trips(spark, path), everything, schema))
+
+
 # Filters, projections, functions
 
 
@@ -154,6 +172,27 @@ def sample_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(trips(spark, sf_dir, MEASURES), 0.01, seed=7)
 
 
+def sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips, sampled rows that are no trips, and whether the sample's size is
+    within five standard deviations of one percent."""
+    everything = materialise(trips(spark, sf_dir))
+    picked = materialise(sample_rows(everything, 0.01, seed=7))
+    one, none = F.lit(1), F.lit(0)
+    names = ("wszystkie", "spoza_wejscia", "wybrane")
+    parts = [(everything, 0), (picked.subtract(everything), 1), (picked, 2)]
+    marked = [
+        df.select(*[(one if i == at else none).alias(name) for i, name in enumerate(names)])
+        for df, at in parts
+    ]
+    sums = reduce(DataFrame.union, marked).agg(*[F.sum(name).alias(name) for name in names])
+    off = F.abs(F.col("wybrane") - F.col("wszystkie") * 0.01)
+    return sums.select(
+        "wszystkie",
+        "spoza_wejscia",
+        (off <= 5 * F.sqrt(F.col("wszystkie") * 0.01 * 0.99)).alias("rozmiar_pasuje"),
+    )
+
+
 # Deduplication, staging, zones
 
 
@@ -162,7 +201,14 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return any_per_key(trips(spark, sf_dir)).select("unique_key")
+    """Each key, and whether the row that survives is one of its rows as a whole."""
+    rows = trips(spark, sf_dir)
+    survivors = any_per_key(rows)
+    inputs = rows.select(*[F.col(c).alias(f"we_{c}") for c in rows.columns]).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"we_{c}")) for c in rows.columns])
+    return survivors.join(inputs, same, "left").select(
+        "unique_key", F.col("we_unique_key").isNotNull().alias("z_wejscia")
+    )
 
 
 def staged(spark: SparkSession, sf_dir: str, null_tip: str = "zero") -> DataFrame:
@@ -190,6 +236,15 @@ def zone_pair_join_chicago(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_zone_pair(trips(spark, sf_dir, _AREAS), chicago_zones(spark), _AREAS[1], _AREAS[2])
 
 
+def zone_names_chicago(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips by packaged zone, for areas that run through all 77 ids and one more."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    areas = orders.select((F.col("o_orderkey") % 78 + 1).cast("bigint").alias(_AREAS[1]))
+    return with_pickup_zone(areas, chicago_zones(spark), _AREAS[1]).groupBy(
+        _AREAS[1], "dzielnica_odbioru"
+    ).agg(F.count("*").alias("liczba"))
+
+
 # Marts
 
 
@@ -236,15 +291,17 @@ def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trim_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.trimmed_rows(trips(spark, sf_dir, MEASURES))
+    rows = trips(spark, sf_dir, MEASURES)
+    return profile.trimmed_rows(rows, profile.value_table(rows))
 
 
 def histogram30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(profile.histogram(_values(spark, sf_dir)), 6, "od", "do")
+    trimmed = profile.trimmed_table(_values(spark, sf_dir))
+    return _rounded(profile.histogram(trimmed), 6, "od", "do")
 
 
 def kde200(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = profile.density(_values(spark, sf_dir))
+    curve = profile.density(profile.trimmed_table(_values(spark, sf_dir)))
     return _rounded(_rounded(curve, 6, "x"), 3, "gestosc")
 
 
@@ -253,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_roundtrip": extract_roundtrip,
     "raw_table_roundtrip": raw_table_roundtrip,
     "staging_view": staging_view,
+    "raw_table_whole": raw_table_whole,
     "zone_dim": zone_dim,
     "publish_marts": publish_marts,
     "published_dynamika_ruchu_small": published_dynamics,
@@ -266,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "speed_mph": speed,
     "tip_percent": tip_share,
     "sample_trips": sample_trips,
+    "sample_check": sample_check,
     "dedup_first_by_time": dedup_first,
     "dedup_any": dedup_any,
     "stage_trips": staged,
@@ -273,6 +332,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_join_left": zone_join_left,
     "zone_pair_join": zone_pair_join,
     "zone_pair_join_chicago": zone_pair_join_chicago,
+    "zone_names_chicago": zone_names_chicago,
     "mart_dynamika_ruchu": mart_dynamics,
     "mart_finanse": mart_finance,
     "mart_finanse_null_tip_ignored": mart_finance_null_tip_ignored,
@@ -285,3 +345,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "histogram30": histogram30,
     "kde200": kde200,
 }
+
+# Whole runs: every mart of both variants in the larger sizes, and those of the
+# small one that have no key of their own above.
+RUNS = {"etl": _publish_etl, "elt": _publish_elt}
+QUERIES |= {
+    f"{variant}_{mart}_{size}": _published(run, mart, size)
+    for variant, run in RUNS.items()
+    for mart in MARTS
+    for size in SCENARIOS
+}

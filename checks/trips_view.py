@@ -1,8 +1,7 @@
 """Trips in the shape the library expects, derived from the order tables.
 
-The expressions are those of FIXTURES.md section 5. Every lineitem is one trip
-record; the other tables only add the two areas, so they are joined (left, on
-their unique keys) only where a caller asks for an area.
+The expressions and the joins are those of FIXTURES.md section 5: every lineitem
+that has a supplier, an order and a customer is one trip record.
 """
 
 from __future__ import annotations
@@ -29,19 +28,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] = TRIP_COLUMNS) -> DataFrame:
-    records = _table(spark, sf_dir, "lineitem")
-    if "pickup_community_area" in columns:
-        supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        records = records.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    if "dropoff_community_area" in columns:
-        # Orders meet their customers first: the records are many times more.
-        customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        orders = (
-            _table(spark, sf_dir, "orders")
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .select("o_orderkey", "c_nationkey")
-        )
-        records = records.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    # Orders meet their customers first: the records are many times more.
+    orders = (
+        _table(spark, sf_dir, "orders")
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "c_nationkey")
+    )
+    records = (
+        _table(spark, sf_dir, "lineitem")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    )
     order_mod = F.col("l_orderkey") % 50
     start_hour = (F.col("l_partkey") * 7 + F.col("l_suppkey")) % 24
     expressions = {

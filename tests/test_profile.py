@@ -120,14 +120,16 @@ def trimmed(values):
 def test_trim(spark):
     data = numbers(3)
     data["gaps"] = [None if i % 3 else float(i) for i in range(3000)]
-    rows = profile.trimmed_rows(frame(spark, **data), list(data)).collect()
+    df = frame(spark, **data)
+    values = profile.value_table(df, list(data))
+    rows = profile.trimmed_rows(df, values, list(data)).collect()
     got = {c: sorted(r.wartosc for r in rows if r.kolumna == c) for c in data}
     assert got == {c: sorted(trimmed(v).tolist()) for c, v in data.items()}
 
 
 def test_histogram_equals_numpy(spark):
     data = numbers(4)
-    rows = profile.histogram(table(spark, data)).collect()
+    rows = profile.histogram(profile.trimmed_table(table(spark, data))).collect()
     for c, values in data.items():
         want, edges = np.histogram(trimmed(values), bins=30)
         mine = sorted((r for r in rows if r.kolumna == c), key=lambda r: r.kosz)
@@ -150,7 +152,7 @@ def test_histogram_edge_columns(spark):
 @pytest.mark.parametrize("seed", [5, 6])
 def test_density(spark, seed):
     data = numbers(seed, 800)
-    rows = profile.density(table(spark, data)).collect()
+    rows = profile.density(profile.trimmed_table(table(spark, data))).collect()
     for c, values in data.items():
         v = trimmed(values)
         h = len(v) ** -0.2 * v.std(ddof=1)

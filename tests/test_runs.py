@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.trips_view import SCENARIOS, trips as trips_view, zones as zones_view
-from conftest import SF_DIR, bag, utc
+from conftest import SF_DIR, bag, plan, utc
+from tripmill import scratch
 from tripmill.cli import main
 from tripmill.plans import marts, runs
 from tripmill.plans.staging import stage_trips
@@ -13,6 +14,7 @@ from tripmill.sinks.tables import (
     format_sink,
     publish,
     replace_staging_view,
+    replace_table,
     write_parquet,
 )
 
@@ -163,3 +165,78 @@ def test_commands(spark, make_trips, tmp_path):
 def test_load_command_fails_when_a_mart_is_missing(tmp_path):
     with pytest.raises(PublishError):
         main(["load", "--root", str(tmp_path), "--schema", "by_command"])
+
+
+def failing(spark):
+    """Rows of which a later task raises while they are written."""
+    late = F.when(F.col("id") == 9, F.raise_error("no more rows")).otherwise(F.col("id"))
+    return spark.range(10).repartition(5).select(late.cast("long").alias("id"))
+
+
+def test_a_failed_replace_keeps_the_old_table(spark):
+    replace_table(spark.range(3), "kept_table")
+    with pytest.raises(Exception, match="no more rows"):
+        replace_table(failing(spark), "kept_table")
+    assert spark.table("kept_table").count() == 3
+    replace_table(spark.range(4), "kept_table")
+    assert spark.table("kept_table").count() == 4
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_table")]
+    assert left == ["kept_table"]
+
+
+def test_a_failed_replace_keeps_the_old_folder(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    write_parquet(spark.range(3), path)
+    with pytest.raises(Exception, match="no more rows"):
+        write_parquet(failing(spark), path)
+    assert spark.read.parquet(path).count() == 3
+    write_parquet(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["mart"]
+
+
+def test_transform_needs_no_other_folder_and_leaves_none(
+    spark, make_trips, zones, tmp_path, monkeypatch
+):
+    raw, root = f"{tmp_path}/raw", f"{tmp_path}/run"
+    make_trips({}).write.parquet(raw)
+    monkeypatch.setattr(scratch, "scratch_dir", lambda spark: pytest.fail("another folder"))
+    runs.transform(spark, raw, zones, "small", root)
+    assert not list((tmp_path / "run" / "scratch").iterdir())
+    with pytest.raises(Exception):
+        runs.transform(spark, raw, zones.select("id_dzielnicy"), "small", root)
+    assert not list((tmp_path / "run" / "scratch").iterdir())
+
+
+def test_elt_marts_read_the_view_and_leave_no_sums(spark, make_trips, zones):
+    scenario = runs.Scenario("view", utc(2022, 1, 1).replace(tzinfo=None),
+                                 utc(2023, 1, 1).replace(tzinfo=None))
+    targets = runs.run_elt(spark, make_trips({"tips": None}), zones, scenario, null_tip="ignore")
+    assert spark.table(targets["mart_finanse"]).first().sredni_procent_napiwku is None
+    tables = [t.name for t in spark.catalog.listTables("transformed_staging")]
+    assert not [t for t in tables if t.startswith("mart_sums")]
+
+
+def test_nan_miles_are_no_distance(spark, make_trips):
+    trips = make_trips({"trip_miles": float("nan")}, {"unique_key": "b"})
+    assert [r.id_przejazdu for r in stage_trips(trips).collect()] == ["b"]
+
+
+def test_load_through_a_file_format_by_command(spark, make_trips, tmp_path):
+    raw, root = f"{tmp_path}/source", f"{tmp_path}/run"
+    make_trips({}).withColumn("rok", F.lit(2022)).write.partitionBy("rok").parquet(raw)
+    main(["extract", "--trips", raw, "--root", root, "--year-partition", "rok", "--narrow"])
+    main(["transform", "--root", root, "--null-tip", "zero", "--survivor", "any"])
+    out = f"{tmp_path}/out"
+    main(["load", "--root", root, "--format", "json", "--option", f"path={out}"])
+    # Every mart goes to the one path of this connector; the last one stays.
+    assert spark.read.json(out).columns == ["dzielnica_dowozu", "dzielnica_odbioru", "liczba_przejazdow"]
+
+
+def test_extract_prunes_year_folders(spark, make_trips, tmp_path):
+    raw = f"{tmp_path}/source"
+    make_trips({}).withColumn("rok", F.lit(2022)).write.partitionBy("rok").parquet(raw)
+    scenario = runs.Scenario("p", utc(2022, 1, 1).replace(tzinfo=None),
+                                 utc(2023, 1, 1).replace(tzinfo=None))
+    cut = runs.extract(spark.read.parquet(raw), scenario, year_partition="rok")
+    assert "PartitionFilters: [isnotnull(rok" in plan(cut).replace("\n", "")

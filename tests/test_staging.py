@@ -162,6 +162,13 @@ def test_survivor(make_trips):
         )
 
 
+def test_any_survivor_is_a_whole_input_row(spark):
+    trips = trips_view(spark, SF_DIR)
+    kept = any_per_key(trips.repartition(13))
+    assert kept.count() == trips.select("unique_key").distinct().count()
+    assert kept.subtract(trips).count() == 0
+
+
 def test_window_form_equals_aggregate_form(spark):
     trips = trips_view(spark, SF_DIR)
     least = (

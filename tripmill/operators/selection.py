@@ -35,10 +35,14 @@ def in_window(
 
 
 def valid_trips(df: DataFrame) -> DataFrame:
-    """Trips that moved, took time and have both community areas."""
+    """Trips that moved, took time and have both community areas.
+
+    Spark counts NaN as greater than any number, but NaN miles are no distance.
+    """
     return df.filter(
         (F.col("trip_seconds") > 0)
         & (F.col("trip_miles") > 0)
+        & ~F.isnan("trip_miles")
         & F.col("pickup_community_area").isNotNull()
         & F.col("dropoff_community_area").isNotNull()
     )

@@ -55,8 +55,8 @@ def value_table(
     or below the shared scratch folder.
 
     This is the only read of the trips that the summary, the histogram and the
-    density need; all three take the table it returns, and pass over it several
-    times without adding the values up again.
+    density need; they take the table it returns, or what ``trimmed_table`` makes
+    of it, and pass over it several times without adding the values up again.
     """
     return materialise(dist.value_counts(trips, columns), path)
 
@@ -90,27 +90,32 @@ def describe(values: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     )
 
 
-def trimmed_values(values: DataFrame, upper: float = UPPER) -> DataFrame:
-    """The value table without the values above each column's percentile."""
-    return dist.trim_upper(values, dist.upper_limits(values, upper))
+def trimmed_table(values: DataFrame, upper: float = UPPER, path: str | None = None) -> DataFrame:
+    """The value table without the values above each column's percentile.
+
+    Written to ``path``, or below the shared scratch folder: the percentiles are
+    found once for the histogram and the density, which both take this table.
+    """
+    return materialise(dist.trim_upper(values, dist.upper_limits(values, upper)), path)
 
 
 def trimmed_rows(
-    trips: DataFrame, columns: Sequence[str] = MEASURES, upper: float = UPPER
+    trips: DataFrame,
+    values: DataFrame,
+    columns: Sequence[str] = MEASURES,
+    upper: float = UPPER,
 ) -> DataFrame:
-    """``kolumna, wartosc``: the same cut on the single measurements."""
-    limits = dist.upper_limits(value_table(trips, columns), upper)
+    """``kolumna, wartosc``: the same cut on the single measurements of ``trips``."""
+    limits = dist.upper_limits(values, upper)
     rows = trips.select(*[F.col(c).cast("double").alias(c) for c in columns])
     return dist.trim_upper(rows.unpivot([], list(columns), "kolumna", "wartosc"), limits)
 
 
-def histogram(values: DataFrame, bins: int = 30, upper: float = UPPER) -> DataFrame:
+def histogram(trimmed: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width bins of the trimmed values of each column."""
-    return dist.histogram(trimmed_values(values, upper), bins)
+    return dist.histogram(trimmed, bins)
 
 
-def density(
-    values: DataFrame, points: int = 200, bins: int = 30, upper: float = UPPER
-) -> DataFrame:
+def density(trimmed: DataFrame, points: int = 200, bins: int = 30) -> DataFrame:
     """The density curve drawn over the histogram of each column."""
-    return dist.density(trimmed_values(values, upper), points, bins)
+    return dist.density(trimmed, points, bins)

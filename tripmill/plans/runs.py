@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,12 @@ from tripmill.sinks.tables import (
     Sink,
     ensure_schema,
     publish,
+    remove_folder,
     replace_staging_view,
     replace_table,
     write_parquet,
 )
-from tripmill.sources.trips import read_trips, trips_table
+from tripmill.sources.trips import read_trips
 
 # The public schema names.
 RAW_SCHEMA = "raw"
@@ -64,23 +66,40 @@ def extract_to_table(
     return name
 
 
-def build_marts(staged: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
+def build_marts(
+    staged: DataFrame, zones: DataFrame, path: str | None = None
+) -> dict[str, DataFrame]:
     """All three marts for one pass over ``staged``.
 
-    The sums are written out and read back, so that the three marts share them
-    without a cache that dies with its executor.
+    The sums are written to the folder ``path``, or below the shared scratch
+    folder, and read back, so that the three marts share them without a cache that
+    dies with its executor. The marts read the folder, so it goes after them.
     """
-    return marts_from_sums(materialise(mart_sums(staged)), zones)
+    return marts_from_sums(materialise(mart_sums(staged), path), zones)
 
 
 def transform(
-    spark: SparkSession, raw: str, zones: DataFrame, size: str, root: str, null_tip: str = "ignore"
+    spark: SparkSession,
+    raw: str,
+    zones: DataFrame,
+    size: str,
+    root: str,
+    null_tip: str = "ignore",
+    survivor: str = "first",
 ) -> dict[str, str]:
-    """Marts from the raw Parquet folder, as one Parquet folder each."""
-    marts = build_marts(stage_trips(read_trips(spark, raw), null_tip), zones)
+    """Marts from the raw Parquet folder, as one Parquet folder each.
+
+    Scratch lies below ``root`` and is removed, also after a failure.
+    """
+    scratch = f"{root}/scratch/{uuid.uuid4().hex}"
     paths = mart_paths(root, size)
-    for name, path in paths.items():
-        write_parquet(marts[name], path)
+    try:
+        staged = stage_trips(read_trips(spark, raw), null_tip, survivor)
+        marts = build_marts(staged, zones, scratch)
+        for name, path in paths.items():
+            write_parquet(marts[name], path)
+    finally:
+        remove_folder(spark, scratch)
     return paths
 
 
@@ -105,6 +124,7 @@ def run_etl(
     schema: str | None = MARTS_SCHEMA,
     sink: Sink = replace_table,
     null_tip: str = "ignore",
+    survivor: str = "first",
     **how,
 ) -> dict[str, str]:
     """Files first: raw Parquet, mart Parquet, then mart tables.
@@ -113,7 +133,7 @@ def run_etl(
     when the sink is a catalog table.
     """
     raw = extract_to_parquet(trips, scenario, root, **how)
-    paths = transform(spark, raw, zones, scenario.name, root, null_tip)
+    paths = transform(spark, raw, zones, scenario.name, root, null_tip, survivor)
     return load(spark, paths, scenario.name, schema, sink)
 
 
@@ -125,13 +145,17 @@ def run_elt(
     raw_schema: str = RAW_SCHEMA,
     target_schema: str = TARGET_SCHEMA,
     location: str | None = None,
+    sink: Sink = replace_table,
+    null_tip: str = "zero",
+    survivor: str = "first",
     **how,
 ) -> dict[str, str]:
     """Tables throughout: raw table, zone table, staging view, mart tables.
 
-    Staging goes to ``<target_schema>_staging`` and the marts to
-    ``<target_schema>_marts``. Schemas that do not exist yet are created, below
-    ``location`` when given.
+    Staging goes to ``<target_schema>_staging`` and the marts, which read the view
+    and go out through ``sink``, to ``<target_schema>_marts``. Schemas that do not
+    exist yet are created, below ``location`` when given. The sums that the marts
+    share are a table of the staging schema while the run lasts.
     """
     size = scenario.name
     staging_schema, marts_schema = f"{target_schema}_staging", f"{target_schema}_marts"
@@ -140,9 +164,15 @@ def run_elt(
     raw = extract_to_table(trips, scenario, raw_schema, **how)
     dimension = sized_name("dim_strefy_chicago", size, staging_schema)
     replace_table(zones, dimension)
-    replace_staging_view(spark, raw, sized_name("stg_taxi_trips", size, staging_schema))
-    marts = build_marts(stage_trips(trips_table(spark, raw)), spark.table(dimension))
-    return publish(marts, marts_schema, size)
+    view = sized_name("stg_taxi_trips", size, staging_schema)
+    replace_staging_view(spark, raw, view, null_tip, survivor)
+    sums = f"{staging_schema}.mart_sums_{uuid.uuid4().hex}"
+    try:
+        mart_sums(spark.table(view)).write.saveAsTable(sums)
+        marts = marts_from_sums(spark.table(sums), spark.table(dimension))
+        return publish(marts, marts_schema, size, sink)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {sums}")
 
 
 def table_counts(spark: SparkSession, targets: dict[str, str]) -> DataFrame:

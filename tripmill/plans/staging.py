@@ -1,75 +1,66 @@
-"""From raw trips to the 14 staged columns."""
+"""From raw trips to the 14 staged columns.
+
+Staging is one SQL text: a catalog view keeps its text and no DataFrame, and a
+DataFrame can be made from the same text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tripmill.functions import calendar
-from tripmill.functions.measures import speed_mph, tip_percent
-from tripmill.operators.dedup import SURVIVOR_ORDER, any_per_key, first_per_key
-from tripmill.operators.selection import valid_trips
+from tripmill.functions.calendar import is_zoned
+from tripmill.operators.dedup import SURVIVOR_ORDER
 from tripmill.schema import STAGED_NAMES, TRIP_COLUMNS, TRIP_SCHEMA, check
 
-
-def rename_trips(df: DataFrame) -> DataFrame:
-    """Raw names to staged names; other columns keep theirs."""
-    return df.withColumnsRenamed(STAGED_NAMES)
+NULL_TIPS = ("zero", "ignore")
+SURVIVORS = ("first", "any")
 
 
-def derive(df: DataFrame, null_tip: str = "zero") -> DataFrame:
-    """Add year, month, hour, speed and tip percentage to renamed trips."""
-    start = STAGED_NAMES["trip_start_timestamp"]
-    return df.withColumns({
-        "rok": calendar.year(df, start),
-        "miesiac": calendar.month(df, start),
-        "godzina": calendar.hour(df, start),
-        "predkosc": speed_mph(F.col("dystans"), F.col("czas_przejazdu")),
-        "procent_napiwku": tip_percent(F.col("napiwek"), F.col("kwota_transackji"), null_tip),
-    })
-
-
-def stage_trips(trips: DataFrame, null_tip: str = "zero", survivor: str = "first") -> DataFrame:
-    """Valid trips, one row per trip key, renamed and with derived columns.
+def staging_sql(
+    source: str, zoned: bool = True, null_tip: str = "zero", survivor: str = "first"
+) -> str:
+    """The staging query over table ``source``.
 
     The quality rules come before the deduplication: a bad record must not push
     out a good one of the same trip. ``null_tip="ignore"`` leaves the percentage
-    of a missing tip null and fills the tip itself with 0 afterwards;
-    ``"zero"`` does the opposite. ``survivor="any"`` keeps an arbitrary row.
-    """
-    dedup = {"first": first_per_key, "any": any_per_key}
-    if survivor not in dedup:
-        raise ValueError(f"survivor must be one of {tuple(dedup)}, not {survivor!r}")
-    narrow = check(trips, TRIP_SCHEMA).select(*TRIP_COLUMNS)
-    staged = derive(rename_trips(dedup[survivor](valid_trips(narrow))), null_tip)
-    return staged.fillna({"napiwek": 0.0}) if null_tip == "ignore" else staged
-
-
-def staging_view_sql(source: str, zoned: bool = True) -> str:
-    """The staging query as SQL text, for a catalog view over table ``source``.
-
-    Stored views keep their text, not a DataFrame. ``zoned`` tells whether the
-    start time is an instant, whose UTC parts need arithmetic, or a plain time.
+    of a missing tip null and fills the tip itself with 0; ``"zero"`` does the
+    opposite. ``survivor="any"`` keeps an arbitrary row of a key. ``zoned`` tells
+    whether the start time is an instant, whose UTC parts need arithmetic, or a
+    plain time. Miles that are NaN are no distance, so such a record is bad.
     """
+    if null_tip not in NULL_TIPS:
+        raise ValueError(f"null_tip must be one of {NULL_TIPS}, not {null_tip!r}")
+    if survivor not in SURVIVORS:
+        raise ValueError(f"survivor must be one of {SURVIVORS}, not {survivor!r}")
     start = "trip_start_timestamp"
     day, hour = start, f"hour({start})"
     if zoned:
         day = f"date_from_unix_date(cast(floor(unix_seconds({start}) / 86400) AS int))"
         hour = f"cast(floor(pmod(unix_seconds({start}), 86400) / 3600) AS int)"
-    names = ", ".join(f"{raw} AS {staged}" for raw, staged in STAGED_NAMES.items())
-    order = ", ".join(f"{c} ASC NULLS FIRST" for c in SURVIVOR_ORDER)
+    shown = {"tips": "coalesce(tips, 0.0D)"} if null_tip == "ignore" else {}
+    names = ", ".join(f"{shown.get(raw, raw)} AS {staged}" for raw, staged in STAGED_NAMES.items())
+    tip = "tips" if null_tip == "ignore" else "coalesce(tips, 0)"
+    columns = SURVIVOR_ORDER if survivor == "first" else ("unique_key",)
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in columns)
     return f"""
         SELECT {names},
                year({day}) AS rok,
                month({day}) AS miesiac,
                {hour} AS godzina,
                trip_miles / nullif(trip_seconds / 3600, 0) AS predkosc,
-               CASE WHEN trip_total > 0 THEN coalesce(tips, 0) / trip_total * 100
+               CASE WHEN trip_total > 0 THEN {tip} / trip_total * 100
                     ELSE 0 END AS procent_napiwku
         FROM (
             SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY {order}) AS row_nr
             FROM {source}
-            WHERE trip_seconds > 0 AND trip_miles > 0
+            WHERE trip_seconds > 0 AND trip_miles > 0 AND NOT isnan(trip_miles)
               AND pickup_community_area IS NOT NULL AND dropoff_community_area IS NOT NULL
         )
         WHERE row_nr = 1"""
+
+
+def stage_trips(trips: DataFrame, null_tip: str = "zero", survivor: str = "first") -> DataFrame:
+    """Valid trips, one row per trip key, renamed and with derived columns."""
+    narrow = check(trips, TRIP_SCHEMA).select(*TRIP_COLUMNS)
+    text = staging_sql("{trips}", is_zoned(narrow, "trip_start_timestamp"), null_tip, survivor)
+    return trips.sparkSession.sql(text, trips=narrow)

@@ -42,10 +42,10 @@ STAGED_NAMES = {
 # The public names of the marts.
 MARTS = ("mart_dynamika_ruchu", "mart_finanse", "mart_trasy")
 
-# Columns the numeric profile looks at.
+# The columns the numeric profile looks at.
 MEASURES = ("trip_seconds", "trip_miles", "trip_total")
 
-# Columns the completeness audit looks at.
+# The columns the completeness audit looks at.
 AUDITED = (
     "pickup_community_area",
     "dropoff_community_area",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.functions.calendar import is_zoned
-from tripmill.plans.staging import staging_view_sql
+from tripmill.plans.staging import staging_sql
 from tripmill.scenario import DEFAULT_SIZE, sized_name
 
 Sink = Callable[[DataFrame, str], None]
@@ -22,8 +23,49 @@ class PublishError(RuntimeError):
         super().__init__(f"{len(lines)} target(s) failed\n" + "\n".join(lines))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a folder, and a function that makes its paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, hadoop.Path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at(path), True)
+
+
+def _move(spark: SparkSession, old: str, new: str) -> None:
+    files, at = _file_system(spark, old)
+    if not files.rename(at(old), at(new)):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replace the folder ``path``; it changes only after all rows are written.
+
+    The rows go to a folder beside it, which then takes its name. If that fails
+    half way, the old folder is put back.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    files, at = _file_system(spark, path)
+    try:
+        df.write.parquet(fresh)
+        replaced = files.exists(at(path))
+        if replaced:
+            _move(spark, path, old)
+        try:
+            _move(spark, fresh, path)
+        except Exception:
+            if replaced:
+                _move(spark, old, path)
+            raise
+        if replaced:
+            remove_folder(spark, old)
+    finally:
+        remove_folder(spark, fresh)
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -33,8 +75,33 @@ def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    """Create table ``name`` from ``df``, replacing an older one."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Create table ``name`` from ``df``, replacing an older one.
+
+    The old table stays as it is until all rows are written. A catalog of its own
+    (a name of three parts) replaces the table itself; the session catalog, which
+    would drop it first, gets a table beside it that then takes its name.
+    """
+    spark = df.sparkSession
+    if name.count(".") == 2:
+        df.writeTo(name).createOrReplace()
+        return
+    mark = uuid.uuid4().hex
+    fresh, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    try:
+        df.write.saveAsTable(fresh)
+        replaced = spark.catalog.tableExists(name)
+        if replaced:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        except Exception:
+            if replaced:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        if replaced:
+            spark.sql(f"DROP TABLE {old}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
 
 
 def format_sink(fmt: str, name_option: str = "table", **options: str) -> Sink:
@@ -50,10 +117,13 @@ def format_sink(fmt: str, name_option: str = "table", **options: str) -> Sink:
     return write
 
 
-def replace_staging_view(spark: SparkSession, raw_table: str, view: str) -> None:
+def replace_staging_view(
+    spark: SparkSession, raw_table: str, view: str, null_tip: str = "zero", survivor: str = "first"
+) -> None:
     """A catalog view over ``raw_table``; its rows are worked out on each read."""
     zoned = is_zoned(spark.table(raw_table), "trip_start_timestamp")
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {staging_view_sql(raw_table, zoned)}")
+    text = staging_sql(raw_table, zoned, null_tip, survivor)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {text}")
 
 
 def publish(
@@ -77,5 +147,5 @@ def publish(
         except Exception as error:
             failures[target] = error
     if failures:
-        raise PublishError(failures)
+        raise PublishError(failures) from next(iter(failures.values()))
     return targets
