@@ -1,0 +1,278 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_DIR
+from tripmill.llm import langid, lattice, queries, secret_scan, toxicity
+from tripmill.llm.frames import ship, table
+
+# Secrets
+
+ASSIGN = re.compile(
+    r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"""
+    r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def brute_base(text):
+    """Runs first and lengths after, as the contract says it."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    for kind, pattern, least in ((1, r"AKIA[A-Z0-9]+", 16), (2, r"[0-9a-f]+", 32)):
+        found += [
+            (m.start(), kind, m.end())
+            for m in re.finditer(pattern, text)
+            if m.end() - m.start() >= least
+        ]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(found)]
+
+
+def test_base_finds_equal_brute_force():
+    draw = random.Random(2)
+    parts = [
+        "password", "Passwd", "SECRET", "token", "api_key", "APIKEY", "=", ":", " ", '"', "'", "AKIA",
+        "ABCDEFGH1234", "0123456789abcdef", "deadbeef", "x", "é", "\n", "long-value_1", "ſecret",
+        "toKen",
+    ]
+    for _ in range(20_000):
+        text = "".join(draw.choices(parts, k=draw.randint(1, 12)))
+        mine = [s for s in secret_scan.find(text) if s[0] != "guess"]
+        assert mine == brute_base(text), text
+
+
+def brute_bits(value):
+    """Every way to cut the value, one span at a time."""
+    from functools import cache
+
+    @cache
+    def rest(at):
+        if at == len(value):
+            return 0.0
+        options = [secret_scan._char_bits(value[at]) + rest(at + 1)]
+        for end, bits in secret_scan._spans(value, at):
+            options.append(bits + (at > 0) + rest(end))
+        return min(options)
+
+    return rest(0)
+
+
+@pytest.mark.parametrize(
+    "value", ["password123", "Tr0ub4dor&3", "19840512x", "qwertyaaaa", "xK9#mQ2$vL", "abcabcabc", "é1"]
+)
+def test_guess_bits_are_the_least_over_all_cuts(value):
+    assert secret_scan.guess_bits(value) == pytest.approx(brute_bits(value))
+
+
+def test_guess_bits_rank_values():
+    weak = ["password", "qwertyuiop", "aaaaaaaaaaaa", "19840512", "letmein1", "changeme"]
+    strong = ["xK9#mQ2$vLp", "2321bac4d15ec8f90433955b", "wr7Tq0pLz8aa"]
+    assert max(map(secret_scan.guess_bits, weak)) < secret_scan.LEAST_BITS
+    assert min(map(secret_scan.guess_bits, strong)) > secret_scan.LEAST_BITS
+    assert secret_scan.guess_bits("aZ9x" * 20_000) > 0
+
+
+def test_method_adds_values_in_context():
+    text = 'pwd is "xK9#mQ2$vL" and password: letmein123 passphrase=zq8!Kd02mm'
+    kinds = [k for k, _, _ in secret_scan.find(text)]
+    assert kinds == ["guess", "assign", "guess"]
+    assert secret_scan.redacted(text) == 'pwd is "[secret]" and [secret] passphrase=[secret]'
+    assert secret_scan.redacted("nothing here") == "nothing here"
+
+
+SECRETS = [(1, None), (2, ""), (3, "token = abcdefgh12 AKIA1234567890ABCD"), (3, "é password:12345678")]
+
+
+def test_scan_and_mask(spark):
+    ship(spark)
+    rows = [(i, t, 7, "s") for i, t in SECRETS]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, spans string")
+    got = secret_scan.scan(df).collect()
+    want = []
+    for i, t in SECRETS:
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in brute_base(t))
+        want.append((i, hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted((r.doc_id, r.base_sha256) for r in got) == sorted(want)
+    masked = secret_scan.without_secrets(df)
+    assert masked.columns == df.columns
+    rows = sorted(((r.doc_id, r.text or "", r.n_chars) for r in masked.collect()))
+    assert rows == [(1, "", 7), (2, "", 7), (3, "[secret] [secret]", 17), (3, "é [secret]", 10)]
+    assert secret_scan.scan(df.limit(0)).collect() == []
+
+
+# Languages
+
+
+def crc(divisor):
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def test_held_out_languages(spark):
+    ship(spark)
+    docs = table(spark, SF_DIR, "documents")
+    rows = langid.identify(docs, crc(4) == 2).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 20
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_languages_of_odd_texts(spark):
+    ship(spark)
+    texts = [
+        (1, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de"), (3, None, "en"),
+        (4, "123 !?", "en"), (5, "", None), (6, "the mat", None), (None, "der hund", "de"),
+        (7, "a", "en"), (8, "the cat " * 50_000, "en"), (9, "der und die", "de"), (10, "the on", "en"),
+    ]
+    df = spark.createDataFrame(
+        [(i, t, lang, 0.5) for i, t, lang in texts], "doc_id long, text string, lang string, score double"
+    )
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, F.lit(False)).collect()}
+    assert got[3] == got[4] == got[5] == "und" and got[6] == "en" and got[None] == "de"
+    assert got[8] == "en"
+    none = langid.identify(df.withColumn("lang", F.lit(None).cast("string")), F.lit(False))
+    assert {(r.lang_pred, r.score) for r in none.collect()} == {("und", 0.0)}
+    assert langid.identify(df.limit(0), F.lit(False)).collect() == []
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 6, 9])
+def test_codewords_differ_and_split(n):
+    code = langid.codewords(n)
+    assert len({tuple(row) for row in code.tolist()}) == n
+    assert all(0 < column.sum() < n for column in code.T)
+
+
+def test_a_wrong_bit_is_corrected():
+    import numpy as np
+
+    code = langid.codewords(4)
+    signs = 2 * code - 1
+    for i in range(4):
+        for b in range(code.shape[1]):
+            margins = 3.0 * signs[i]
+            margins[b] *= -1
+            losses = np.logaddexp(0, -signs * margins).sum(axis=1)
+            assert losses.argmin() == i
+
+
+# Toxicity
+
+
+def test_held_out_toxicity(spark):
+    ship(spark)
+    sf_dir = SF_DIR.replace("0.001", "0.1")
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels, crc(5) == 0).join(labels, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    toxic = [r.predicted for r in held if r.toxic == 1]
+    clean = [r.predicted for r in held if r.toxic == 0]
+    assert len(toxic) > 20 and sum(toxic) >= 0.9 * len(toxic)
+    assert sum(clean) <= 0.01 * len(clean)
+    assert all((r.score >= 0.5) == (r.predicted == 1) and 0 <= r.score <= 1 for r in rows)
+
+
+def toxic_texts():
+    draw = random.Random(1)
+    plain = [f"{a}{b}" for a in ("ta", "re", "no", "li", "mu") for b in ("ment", "tion", "del", "ras")]
+    ordinary = [" ".join(draw.choices(plain, k=40)) for _ in range(150)]
+    toxic = []
+    for _ in range(60):
+        words = draw.choices(plain, k=40)
+        for _ in range(3):
+            words[draw.randrange(40)] = draw.choice(["dreckwort", "schimpfer"])
+        toxic.append(" ".join(words))
+    return toxic, ordinary
+
+
+def test_dictionaries_differ_by_the_toxic_words():
+    toxic, ordinary = toxic_texts()
+    # A passage that many toxic texts copy is one context.
+    toxic = [f"{t} kopierte stelle" for t in toxic]
+    model = toxicity.fit(toxic, ordinary)
+    scorer = toxicity.Scorer(model)
+    assert scorer.word("dreckwort") >= 4 and scorer.word("tament") == 0
+    assert scorer.saved("tament redel dreckwort muras") >= model.threshold
+    assert scorer.saved(" ".join(ordinary[:20])) < model.threshold
+    assert scorer.saved("") == 0 and scorer.saved("kopierte stelle") < model.threshold
+
+
+def test_toxicity_of_odd_tables(spark):
+    ship(spark)
+    toxic, ordinary = toxic_texts()
+    rows = [(i, t) for i, t in enumerate(toxic + ordinary)]
+    marks = spark.createDataFrame(
+        [(i, int(i < len(toxic)), 1) for i, _ in rows], "doc_id long, toxic int, quality int"
+    )
+    odd = [(1000, None), (1001, ""), (None, "dreckwort"), (1002, "x" * 200_000), (1002, "schimpfer")]
+    df = spark.createDataFrame(
+        [(i, t, 3, True) for i, t in rows + odd], "doc_id long, text string, score int, held_out boolean"
+    )
+    got = toxicity.toxicity(df, marks, F.lit(None).cast("boolean")).collect()
+    assert len(got) == len(rows) + len(odd)
+    by_id = {r.doc_id: r.predicted for r in got}
+    assert by_id[1000] == by_id[1001] == 0 and by_id[None] == 1
+    assert sum(r.predicted for r in got if r.doc_id == 1002) == 1
+    clean = toxicity.without_toxic(df, marks, F.lit(False))
+    assert clean.columns == df.columns
+    assert clean.count() == len(ordinary) + 3
+    nothing = toxicity.toxicity(df, marks.limit(0), F.lit(False)).collect()
+    assert {r.predicted for r in nothing} == {0}
+    assert toxicity.toxicity(df.limit(0), marks, F.lit(False)).collect() == []
+
+
+# Pieces
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return lattice.load_pieces(queries.PIECES)
+
+
+def brute_viterbi(word, pieces):
+    """The best cut by its score; of equal scores the one whose last piece starts first."""
+    scores = {p: (i, s) for p, i, s in pieces.rows}
+    best = [(0.0, 0, None)]
+    for end in range(1, len(word) + 1):
+        found = None
+        for start in range(max(0, end - pieces.longest), end):
+            i, s = scores.get(word[start:end], (-1, pieces.unknown))
+            if i == -1 and end - start > 1:
+                continue
+            if found is None or best[start][0] + s > found[0]:
+                found = (best[start][0] + s, start, i)
+        best.append(found)
+    ids, end = [], len(word)
+    while end:
+        _, start, i = best[end]
+        own = [i] if i >= 0 else [pieces.first_byte + b for b in word[start:end].encode()]
+        ids = own + ids
+        end = start
+    return ids
+
+
+TEXTS = [
+    (1, "the cat sat on the mat, internationalisation!"), (2, "naïve façade 漢字 🙂\x07 x"),
+    (3, None), (4, ""), (5, " "), (6, "  two  spaces \n"), (7, "ab" * 150 + " zz"), (8, "the cat"),
+]
+
+
+def test_lattice_equals_viterbi_and_decodes(spark, pieces):
+    import sentencepiece
+
+    ship(spark)
+    df = spark.createDataFrame([(i, t, 1) for i, t in TEXTS], "doc_id long, text string, n int")
+    words = lattice.distinct_words(df)
+    found = {r.word: (r.n, r.ids) for r in lattice.encode_words(words, pieces).collect()}
+    assert found["▁the"][0] == 3
+    for word, (_, ids) in found.items():
+        assert ids == brute_viterbi(word, pieces), word
+    whole = lattice.encode_documents(df, pieces)
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    texts = dict(TEXTS)
+    for row in whole.collect():
+        assert model.decode(row.ids) == (texts[row.doc_id] or "")
+    decoded = {r.doc_id: r.text for r in lattice.decode_ids(whole, pieces, "doc_id").collect()}
+    assert decoded == {i: f" {t}" if t else "" for i, t in TEXTS}
+    assert lattice.encode_words(lattice.distinct_words(df.limit(0)), pieces).collect() == []
