@@ -9,18 +9,17 @@ for fields that agree by chance. Candidates whose estimate is more than
 the full sets. At a similarity of 0.85 a link shares no band with a probability
 below 1e-10, at 0.8 below 1e-7, and is dropped by its estimate below 1e-5.
 
-Buckets are not expanded into pairs. Candidates come in three rounds, each with
-its links joined into components:
+Buckets are not expanded into pairs. Links come in two rounds, each with its links
+joined into components:
 
 1. every class against the least class of each of its buckets;
-2. where a bucket still spans components, every class against the most similar
-   class outside its own component;
-3. what is left: the pairs of such a bucket that span components and were not yet
-   compared. Only pairs whose estimate passes leave the task.
+2. where a bucket still spans components, the pairs of its classes that do, the most
+   similar by their signatures first. The full sets go along, so a pair is confirmed
+   in the task that finds it, and only links that join two components leave it.
 
-Links inside a component change nothing, so the components are those of all
-links. Buckets of round 2 and 3 are cut into blocks; a pair of blocks is a task's
-unit, so a large bucket spreads over many tasks.
+Links inside a component change nothing, so the components are those of all links.
+Buckets of round 2 are cut into blocks; a pair of blocks is a task's unit, so a large
+bucket spreads over many tasks.
 
 Defined cases: a null or empty text, or one of white space alone, has an empty set
 and is linked with nothing; fewer words than a shingle make one shingle; rows with
@@ -187,50 +186,54 @@ def _similar(batches: Iterator[pa.RecordBatch], fewest: int) -> Iterator[pa.Reco
         yield pairs.filter(pa.array(equal >= fewest))
 
 
+def linked(a: bytes, b: bytes, threshold: int) -> bool:
+    """Whether 100 * intersection >= threshold * union holds for two full sets."""
+    both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= threshold * (len(both) - common)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """Pairs with 100 * intersection >= threshold * union on the full sets."""
+    """The pairs that are linked."""
     for batch in batches:
-        linked = []
-        columns = (batch.column(c).to_pylist() for c in ("set_a", "set_b"))
-        for a, b in zip(*columns, strict=True):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = np.concatenate([a, b])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= threshold * (len(both) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-
-def _across(cell: pa.Table, fewest: int, threshold: int, nearest: bool) -> pa.Table:
-    """Pairs of a cell's two blocks that span components and are similar by signature."""
+        sets = zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b")), strict=True)
+        found = [linked(a, b, threshold) for a, b in sets]
+        yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+
+def _across(cell: pa.Table, fewest: int, threshold: int) -> pa.Table:
+    """Links between the two blocks of a cell that join components."""
     cell = cell.sort_by("node")
-    node, root, n = (cell.column(c).to_numpy() for c in ("node", "root", "n"))
-    block = cell.column("block").to_numpy()
-    sig = _signatures(cell.column("sig"))
+    node, root, n, block = (cell.column(c).to_numpy() for c in ("node", "root", "n", "block"))
+    sig, sets = _signatures(cell.column("sig")), cell.column("found").to_pylist()
     low, high = cell.column("low")[0].as_py(), cell.column("high")[0].as_py()
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    pairs: set[tuple[int, int]] = set()
+    above = {r: r for r in set(root.tolist())}
+
+    def top(r: int) -> int:
+        while above[r] != r:
+            above[r] = above[above[r]]
+            r = above[r]
+        return r
+
+    links: list[tuple[int, int]] = []
     for at in range(0, len(left), 64):
         i = left[at : at + 64]
         equal = equal_fields(sig[i][:, None, :], sig[right][None, :, :])
-        sizes = np.minimum(n[i][:, None], n[right]) * 100 >= threshold * np.maximum(
-            n[i][:, None], n[right]
-        )
-        fits = (equal >= fewest) & sizes & (root[i][:, None] != root[right])
-        if nearest:
-            equal = np.where(fits, equal, -1)
-            best = equal.argmax(axis=1)
-            rows = np.flatnonzero(equal[np.arange(len(i)), best] >= 0)
-            pairs |= {(int(i[r]), int(right[best[r]])) for r in rows}
-            best = equal.argmax(axis=0)
-            columns = np.flatnonzero(equal[best, np.arange(len(right))] >= 0)
-            pairs |= {(int(i[best[c]]), int(right[c])) for c in columns}
-        else:
-            pairs |= {(int(i[r]), int(right[c])) for r, c in zip(*np.nonzero(fits), strict=True)}
-    a, b = ([int(node[p[k]]) for p in pairs] for k in (0, 1))
+        small, large = np.minimum(n[i][:, None], n[right]), np.maximum(n[i][:, None], n[right])
+        fits = (equal >= fewest) & (root[i][:, None] != root[right])
+        fits &= small.astype(np.int64) * 100 >= threshold * large.astype(np.int64)
+        rows, columns = np.nonzero(fits)
+        for k in np.argsort(-equal[rows, columns], kind="stable"):
+            a, b = int(i[rows[k]]), int(right[columns[k]])
+            x, y = top(int(root[a])), top(int(root[b]))
+            if x != y and linked(sets[a], sets[b], threshold):
+                above[max(x, y)] = min(x, y)
+                links.append((int(node[a]), int(node[b])))
     return pa.table({
-        "a": pa.array(list(map(min, a, b)), pa.int64()),
-        "b": pa.array(list(map(max, a, b)), pa.int64()),
+        "a": pa.array([a for a, _ in links], pa.int64()),
+        "b": pa.array([b for _, b in links], pa.int64()),
     })
 
 
@@ -272,7 +275,7 @@ class _Search:
         return keep(rows.join(many, "key"), self.work, "buckets")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """``a, b`` with their classes, where sizes and signatures allow a link."""
+        """``a, b`` and their classes, where sizes and signatures allow a link."""
 
         def side(x: str) -> DataFrame:
             return self.classes.select(
@@ -287,16 +290,14 @@ class _Search:
             "a long, b long, class_a binary, class_b binary",
         )
 
-    def sets(self, pairs: DataFrame) -> DataFrame:
-        """``class, found``: the full sets of the classes in ``pairs``, made again from the texts.
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """``class, found``: the full sets of some classes, made again from the texts.
 
-        Few documents are in pairs. Their ids are sent to the texts if there are
+        Few documents have candidates. Their ids are sent to the texts if there are
         ``SENT_IDS`` at most; else the texts go to them.
         """
         wanted = keep(
-            pairs.select(F.col("a").alias("node"))
-            .union(pairs.select("b"))
-            .distinct()
+            nodes.distinct()
             .join(self.classes.select("node", "first.doc_id"), "node")
             .select(F.col("doc_id").alias("wanted"))
             .distinct(),
@@ -313,12 +314,16 @@ class _Search:
             partial(_sets, size=self.size), "class binary, found binary"
         )
         # Rows with one id and one text give the same set again.
-        return made.groupBy("class").agg(F.first("found").alias("found"))
+        sets = made.groupBy("class").agg(F.first("found").alias("found"))
+        return keep(sets, self.work, "sets")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The links among candidate pairs, on the full sets."""
-        pairs = keep(pairs, self.work, "pairs")
-        sets = keep(self.sets(pairs), self.work, "sets")
+    def stars(self, buckets: DataFrame) -> DataFrame:
+        """The links of the classes with the least one of each of their buckets."""
+        pairs = buckets.filter("node != least").select(
+            F.col("least").alias("a"), F.col("node").alias("b")
+        )
+        pairs = keep(self.similar(pairs.distinct()), self.work, "pairs")
+        sets = self.sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
 
         def side(x: str) -> DataFrame:
             return sets.select(F.col("class").alias(f"class_{x}"), F.col("found").alias(f"set_{x}"))
@@ -329,8 +334,8 @@ class _Search:
         )
         return keep(links, self.work, "links")
 
-    def across(self, buckets: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
-        """Candidate pairs of buckets that span components, but for their least class.
+    def across(self, buckets: DataFrame, roots: DataFrame) -> DataFrame:
+        """Links in buckets that span components, but for those with their least class.
 
         Every class has been compared with the least one of its buckets before.
         """
@@ -352,10 +357,11 @@ class _Search:
             .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
             .select("key", "blocks")
         )
-        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        members = keep(rows.join(spanning, "key"), self.work, "members")
+        sets = self.sets(members.select("node"))
+        content = self.classes.select("class", "node", "n", "sig").join(sets, "class").drop("class")
         cells = (
-            rows.join(spanning, "key")
-            .withColumn("block", block)
+            members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(
                 "key",
@@ -365,33 +371,22 @@ class _Search:
                 F.least("block", "other").alias("low"),
                 F.greatest("block", "other").alias("high"),
             )
-            .join(self.classes.select("node", "n", "sig"), "node")
+            .join(content, "node")
         )
         fewest, threshold = self.fewest, self.threshold
         found = cells.groupBy("key", "low", "high").applyInArrow(
-            lambda cell: _across(cell, fewest, threshold, nearest), "a long, b long"
-        )
-        side = self.classes.select("node", "class")
-        return (
-            found.distinct()
-            .join(side.select(F.col("node").alias("a"), F.col("class").alias("class_a")), "a")
-            .join(side.select(F.col("node").alias("b"), F.col("class").alias("class_b")), "b")
-            .select("a", "b", "class_a", "class_b")
+            lambda cell: _across(cell, fewest, threshold), "a long, b long"
         )
+        return keep(found, self.work, "links")
 
     def roots(self) -> DataFrame:
         """``node, root`` for every class that has a link."""
         buckets = self.buckets()
-        stars = buckets.filter("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-        links = self.confirmed(self.similar(stars.distinct()))
-        roots = keep(components(links, self.work), self.work, "roots")
-        for nearest in (True, False):
-            pairs = keep(self.across(buckets, roots, nearest), self.work, "across")
-            if pairs.isEmpty():
-                break
-            links = self.confirmed(pairs).union(roots.select("node", "root"))
-            roots = keep(components(links, self.work), self.work, "roots")
-        return roots
+        roots = keep(components(self.stars(buckets), self.work), self.work, "roots")
+        links = self.across(buckets, roots)
+        if links.isEmpty():
+            return roots
+        return keep(components(links.union(roots), self.work), self.work, "roots")
 
 
 def near_copies(
