@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, partial
@@ -41,9 +42,11 @@ from tripmill.llm.frames import as_text
 #: Labelled rows of each class that training reads at most.
 TRAIN_ROWS = 2500
 #: Contexts that a segment has at least, and how often toxic text uses it more.
-LEAST_CONTEXTS, LEAST_RATIO, LEAST_Z = 8, 8.0, 8.0
+LEAST_CONTEXTS, LEAST_RATIO, LEAST_Z = 8, 30.0, 8.0
 #: Bytes of common words, and of segments, in a dictionary.
 BASE_BYTES, SEGMENT_BYTES = 4000, 2000
+#: Ordinary words that look toxic, of which both dictionaries are told.
+ALIKE = 80
 WINDOW_WORDS = 8
 _MARK = "\x01\x02\x03\x04\x05\x06\x07\x08"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -112,7 +115,8 @@ class Scorer:
 
     def saved(self, text: str) -> int:
         windows = self.windows(text.lower().split())
-        return max((self.word(w) for own in windows for w in own), default=0)
+        words = (w for own in windows for w in _WORD.findall(" ".join(own)))
+        return max(map(self.word, words), default=0)
 
 
 @cache
@@ -203,11 +207,21 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     words = _dictionaries(chosen, common, _MARK)
     if not chosen:
         return Model(*windows, *words, threshold=1e9)
+    # Ordinary words that save bytes go to the base of both dictionaries, the most
+    # frequent ones first, unless toxic texts use them far more.
+    scorer = Scorer(Model(*windows, *words, threshold=0))
+    in_toxic = Counter(w for text in toxic for w in set(_WORD.findall(text.lower())))
+    alike = [
+        w
+        for w in sorted(counts, key=lambda w: (-counts[w], w))
+        if counts[w] > 1 and in_toxic[w] < 20 * counts[w] and scorer.word(w) >= 2
+    ][:ALIKE]
+    words = _dictionaries(chosen, [*alike, *[w for w in common if w not in alike]], _MARK)
     scorer = Scorer(Model(*windows, *words, threshold=0))
     hits = np.array([scorer.saved(t) for t in toxic])
     others = np.array([scorer.saved(t) for t in ordinary] or [0])
-    # Clean texts are many: one wrongly rejected counts as four that are missed.
-    cost = {t: np.mean(hits < t) + 4 * np.mean(others >= t) for t in range(2, 13)}
+    # Clean texts are many: one wrongly rejected counts as ten that are missed.
+    cost = {t: np.mean(hits < t) + 10 * np.mean(others >= t) for t in range(2, 13)}
     least = min(cost.values())
     best = [t for t, c in cost.items() if c <= least + 1e-9]
     return Model(*windows, *words, threshold=float(np.mean([best[0], best[-1]])) - 0.25)
