@@ -31,6 +31,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINE = (
     "scan_trips",
+    "extract_roundtrip",
     "scenario_filter_small",
     "quality_filter",
     "dedup_first_by_time",
@@ -41,9 +42,11 @@ HEADLINE = (
     "mart_finanse",
     "mart_trasy",
     "publish_marts",
+    "etl_mart_finanse_large",
     "audit_uniqueness_by_year",
     "null_profile_long",
     "describe_numeric",
+    "trim_p99",
     "histogram30",
     "kde200",
 )
