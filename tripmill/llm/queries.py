@@ -107,10 +107,10 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = lattice.load_pieces(PIECES)
     words = lattice.distinct_words(table(spark, sf_dir, "documents"))
     encoded = lattice.encode_words(words, pieces)
-    work = scratch_dir(spark)
-    encoded = keep(encoded, work, "encoded")
-    decoded = lattice.decode_ids(encoded, pieces, "word")
-    return encoded.join(decoded, "word").select(
+    numbered = encoded.withColumn("row", F.monotonically_increasing_id())
+    encoded = keep(numbered, scratch_dir(spark), "encoded")
+    decoded = lattice.decode_ids(encoded, pieces, "row")
+    return encoded.join(decoded, "row").select(
         "word",
         "n",
         F.size("ids").alias("n_pieces"),
