@@ -228,24 +228,33 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
 
 
 def training_texts(
-    docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS
+    docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = TRAIN_ROWS
 ) -> tuple[list[str], list[str]]:
-    """At most ``rows`` toxic and ordinary texts: those whose ids have the smallest hashes."""
-    labelled = docs.join(
-        labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").alias("is_toxic")),
-        F.col("doc_id") == F.col("labelled"),
-    )
+    """At most ``rows`` toxic and ordinary texts: those whose ids have the smallest hashes.
+
+    The ids are picked among the labels first and sent to the documents, so that
+    texts that are not picked stay where they are.
+    """
+    known = labels.filter(F.col("doc_id").isNotNull() & ~F.coalesce(held_out, F.lit(False)))
     picked = [
-        labelled.filter(F.col("is_toxic") == label)
-        .select("doc_id", "text", F.xxhash64("doc_id").alias("order"))
-        .orderBy("order", "doc_id", "text")
+        known.filter(F.col("toxic") == label)
+        .select(F.col("doc_id").cast("long").alias("labelled"))
+        .distinct()
+        .withColumn("is_toxic", F.lit(label))
+        .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(rows)
-        .select("text")
-        .collect()
         for label in (1, 0)
     ]
-    toxic, ordinary = ([r["text"] for r in part] for part in picked)
-    return toxic, ordinary
+    # At most two times ``rows`` ids.
+    ids = F.broadcast(picked[0].union(picked[1]))
+    found = (
+        docs.join(ids, F.col("doc_id") == F.col("labelled"))
+        .groupBy("labelled", "is_toxic")
+        .agg(F.min("text").alias("text"))
+        .orderBy("labelled")
+        .collect()
+    )
+    return tuple([r["text"] for r in found if r["is_toxic"] == label] for label in (1, 0))
 
 
 # Scoring
@@ -276,10 +285,9 @@ def toxicity(
     ``labels`` has ``doc_id`` and ``toxic``. Rows where ``held_out``, an expression
     over ``doc_id``, holds are scored but not learned from.
     """
-    rows = as_text(docs, id_column, text_column).withColumn(
-        "held_out", F.coalesce(held_out, F.lit(False))
-    )
-    model = fit(*training_texts(rows.filter(~F.col("held_out")), labels, train_rows))
+    plain = as_text(docs, id_column, text_column)
+    model = fit(*training_texts(plain, labels, held_out, train_rows))
+    rows = plain.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     return rows.mapInArrow(
         partial(_scores, model=model),
         "doc_id long, held_out boolean, score double, predicted int",
@@ -288,10 +296,7 @@ def toxicity(
 
 def without_toxic(docs: DataFrame, labels: DataFrame, held_out: Column, **how) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is not predicted to be toxic."""
-    train = as_text(docs, "doc_id", "text").withColumn(
-        "held_out", F.coalesce(held_out, F.lit(False))
-    )
-    model = fit(*training_texts(train.filter(~F.col("held_out")), labels, **how))
+    model = fit(*training_texts(as_text(docs, "doc_id", "text"), labels, held_out, **how))
     return docs.mapInArrow(partial(_clean, model=model), docs.schema)
 
 
