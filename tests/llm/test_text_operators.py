@@ -264,11 +264,14 @@ def test_lattice_equals_viterbi_and_decodes(spark, pieces):
 
     ship(spark)
     df = spark.createDataFrame([(i, t, 1) for i, t in TEXTS], "doc_id long, text string, n int")
-    words = lattice.distinct_words(df)
+    words = lattice.distinct_words(df, pieces)
     found = {r.word: (r.n, r.ids) for r in lattice.encode_words(words, pieces).collect()}
     assert found["▁the"][0] == 3
+    decoded = lattice.decode_ids(lattice.encode_words(words, pieces), pieces, "word").collect()
+    assert all(r.text == r.word.replace("▁", " ") for r in decoded)
     for word, (_, ids) in found.items():
         assert ids == brute_viterbi(word, pieces), word
+    assert pieces.at_marks and "," in found and "▁mat" in found
     whole = lattice.encode_documents(df, pieces)
     model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
     texts = dict(TEXTS)
@@ -276,4 +279,4 @@ def test_lattice_equals_viterbi_and_decodes(spark, pieces):
         assert model.decode(row.ids) == (texts[row.doc_id] or "")
     decoded = {r.doc_id: r.text for r in lattice.decode_ids(whole, pieces, "doc_id").collect()}
     assert decoded == {i: f" {t}" if t else "" for i, t in TEXTS}
-    assert lattice.encode_words(lattice.distinct_words(df.limit(0)), pieces).collect() == []
+    assert lattice.encode_words(lattice.distinct_words(df.limit(0), pieces), pieces).collect() == []

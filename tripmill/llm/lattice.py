@@ -1,8 +1,9 @@
 """Operator 10: SentencePiece encoding and decoding as a relational lattice.
 
 A text becomes words: spaces are written as U+2581, one more is put in front, and a
-word begins at each. No piece that can be chosen crosses the beginning of a word, so
-words are encoded by themselves, each distinct word once:
+word begins at each; if the piece table allows it, also between letters and marks. No
+piece that can be chosen crosses the beginning of a word, which is checked on the table,
+so words are encoded by themselves, each distinct word once:
 
 1. substrings of bounded length are exploded from each word,
 2. and joined to the piece table on equality; what matches is an edge of the word's
@@ -24,6 +25,7 @@ space; a word of any length is encoded whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -34,11 +36,16 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Characters of a word that are cut out at a time, so that long words stay linear.
 STRIP = 64
+# Letters of Latin-1, and ASCII that is no letter.
+_LETTER = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARK = r"\x00-\x40\x5b-\x60\x7b-\x7f"
+_CROSSES = re.compile(f"[{_LETTER}][{_MARK}]|[{_MARK}][{_LETTER}]")
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """The pieces that can be chosen, as rows; the id of byte 0; and bounds.
+    """The pieces that can be chosen, as rows; the id of byte 0; bounds; and whether
+    words end between letters and marks, as no piece has both.
 
     The table has one row for each entry of the vocabulary at most, which bounds
     what a broadcast of it takes.
@@ -48,6 +55,7 @@ class Pieces:
     first_byte: int
     longest: int
     unknown: float
+    at_marks: bool
 
     def frame(self, spark: SparkSession) -> DataFrame:
         table = pa.table({
@@ -75,24 +83,30 @@ def load_pieces(model_path: str) -> Pieces:
     if first_byte is None:
         raise ValueError("the model has no byte pieces")
     return Pieces(
-        rows, first_byte, max(len(r[0]) for r in rows), min(r[2] for r in rows) - UNKNOWN_PENALTY
+        rows,
+        first_byte,
+        longest=max(len(r[0]) for r in rows),
+        unknown=min(r[2] for r in rows) - UNKNOWN_PENALTY,
+        at_marks=not any(_CROSSES.search(r[0]) for r in rows),
     )
 
 
-def words_of(text: Column) -> Column:
+def words_of(text: Column, pieces: Pieces) -> Column:
     """The words of a text; put together and without the first space they are the text."""
     spaced = F.concat(F.lit(SPACE), F.regexp_replace(text, " ", SPACE))
-    return F.when(F.length(text) > 0, F.split(spaced, f"(?={SPACE})")).otherwise(
+    cut = f"(?={SPACE})"
+    if pieces.at_marks:
+        cut += f"|(?<=[{_LETTER}])(?=[{_MARK}])|(?<=[{_MARK}])(?=[{_LETTER}])"
+    return F.when(F.length(text) > 0, F.split(spaced, cut)).otherwise(
         F.array().cast("array<string>")
     )
 
 
-def distinct_words(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def distinct_words(docs: DataFrame, pieces: Pieces, text_column: str = "text") -> DataFrame:
     """``word, n``: every distinct word and how often it occurs."""
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    return docs.select(F.explode(words_of(text)).alias("word")).groupBy("word").agg(
-        F.count("*").alias("n")
-    )
+    words = docs.select(F.explode(words_of(text, pieces)).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def edges(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -173,28 +187,28 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def decode_ids(rows: DataFrame, pieces: Pieces, key: str, ids: str = "ids") -> DataFrame:
-    """``key, text``: the text of the ids of each row; ``key`` tells rows apart.
+    """Add ``text``, what the ids of each row stand for; ``key`` tells rows apart.
 
     Pieces and single bytes are put together as bytes and read as UTF-8. The space
-    that stands before the first word stays.
+    that stands before the first word stays. Rows that are dealt by ``key`` already
+    are not shuffled.
     """
+    others = [c for c in rows.columns if c != key]
     table = pieces.frame(rows.sparkSession).select(
-        "id", F.hex(F.encode("piece", "UTF-8")).alias("spelt")
-    )
-    single = F.lpad(F.hex(F.col("id") - pieces.first_byte), 2, "0")
-    in_bytes = F.col("id").between(pieces.first_byte, pieces.first_byte + 255)
-    spread = rows.select(F.col(key), F.posexplode_outer(ids).alias("at", "id"))
-    met = spread.join(F.broadcast(table), "id", "left").withColumn(
-        "spelt", F.when(in_bytes, single).otherwise(F.coalesce("spelt", F.lit("")))
+        F.col("id").alias("_id"), F.hex(F.encode("piece", "UTF-8")).alias("_piece")
     )
+    single = F.lpad(F.hex(F.col("_id") - pieces.first_byte), 2, "0")
+    in_bytes = F.col("_id").between(pieces.first_byte, pieces.first_byte + 255)
+    spread = rows.select("*", F.posexplode_outer(ids).alias("_at", "_id"))
+    spelt = F.when(in_bytes, single).otherwise(F.coalesce("_piece", F.lit("")))
+    met = spread.join(F.broadcast(table), "_id", "left").withColumn("_spelt", spelt)
     whole = met.groupBy(key).agg(
-        F.concat_ws(
-            "", F.transform(F.array_sort(F.collect_list(F.struct("at", "spelt"))), lambda x: x["spelt"])
-        ).alias("spelt")
-    )
-    return whole.select(
-        key, F.regexp_replace(F.decode(F.unhex("spelt"), "UTF-8"), SPACE, " ").alias("text")
+        *[F.first(c).alias(c) for c in others],
+        F.array_sort(F.collect_list(F.struct("_at", "_spelt"))).alias("_parts"),
     )
+    spelt = F.concat_ws("", F.transform("_parts", lambda x: x["_spelt"]))
+    text = F.regexp_replace(F.decode(F.unhex(spelt), "UTF-8"), SPACE, " ")
+    return whole.withColumn("text", text).drop("_parts")
 
 
 def encode_documents(
@@ -208,9 +222,9 @@ def encode_documents(
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     spread = docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"), F.posexplode_outer(words_of(text)).alias("at", "word")
+        F.col(f"`{id_column}`").alias("doc_id"), F.posexplode_outer(words_of(text, pieces)).alias("at", "word")
     )
-    found = encode_words(distinct_words(docs, text_column), pieces).select("word", "ids")
+    found = encode_words(distinct_words(docs, pieces, text_column), pieces).select("word", "ids")
     each = F.struct("at", "ids")
     return (
         spread.join(found, "word", "left")

@@ -21,7 +21,7 @@ from tripmill.llm import (
     toxicity,
     url_filter,
 )
-from tripmill.llm.frames import keep, scratch_dir, ship, table
+from tripmill.llm.frames import scratch_dir, ship, table
 
 #: The vocabulary of the contracts; its path is a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -105,17 +105,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct word of all documents with its count, ids and decoded form."""
     pieces = lattice.load_pieces(PIECES)
-    words = lattice.distinct_words(table(spark, sf_dir, "documents"))
-    encoded = lattice.encode_words(words, pieces)
-    numbered = encoded.withColumn("row", F.monotonically_increasing_id())
-    encoded = keep(numbered, scratch_dir(spark), "encoded")
-    decoded = lattice.decode_ids(encoded, pieces, "row")
-    return encoded.join(decoded, "row").select(
-        "word",
-        "n",
-        F.size("ids").alias("n_pieces"),
-        "ids",
-        F.col("text").alias("decoded"),
+    words = lattice.distinct_words(table(spark, sf_dir, "documents"), pieces)
+    decoded = lattice.decode_ids(lattice.encode_words(words, pieces), pieces, "word")
+    return decoded.select(
+        "word", "n", F.size("ids").alias("n_pieces"), "ids", F.col("text").alias("decoded")
     )
 
 
