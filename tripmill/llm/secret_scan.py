@@ -75,7 +75,7 @@ _DATE = re.compile(
 )
 _DATE_BITS, _YEAR_BITS = math.log2(366 * 130 * 3), math.log2(130)
 _WALK_START, _WALK_STEP = math.log2(len(_PLACE)), 1.0
-_LONGEST_WALK, _LONGEST_UNIT = 32, 4
+_LONGEST_WALK, _LONGEST_UNIT, _LONGEST_REPEAT = 32, 4, 32
 
 
 def _char_bits(c: str) -> float:
@@ -100,7 +100,8 @@ def _spans(value: str, at: int) -> Iterator[tuple[int, float]]:
         yield date.end(), _YEAR_BITS if date.end() - at == 4 else _DATE_BITS
     for unit in range(1, _LONGEST_UNIT + 1):
         end = at + unit
-        while value[end : end + unit] == value[at : at + unit] and end + unit <= n:
+        bound = min(n, at + _LONGEST_REPEAT)
+        while end + unit <= bound and value[end : end + unit] == value[at : at + unit]:
             end += unit
         if end > at + max(2, unit):
             yield end, sum(map(_char_bits, value[at : at + unit])) + math.log2((end - at) / unit)
@@ -126,13 +127,8 @@ def guess_bits(value: str) -> float:
     """
     value = value.translate({0: " "})
     best = [0.0] + [math.inf] * len(value)
-    repeated = 0
     for at, c in enumerate(value):
         best[at + 1] = min(best[at + 1], best[at] + _char_bits(c))
-        # Inside a long repetition the span from its start says it all.
-        repeated = repeated + 1 if at and c == value[at - 1] else 0
-        if repeated > 2 * _LONGEST_UNIT:
-            continue
         for end, bits in _spans(value, at):
             best[end] = min(best[end], best[at] + bits + (at > 0))
     return best[-1]
