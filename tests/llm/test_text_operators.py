@@ -280,3 +280,24 @@ def test_lattice_equals_viterbi_and_decodes(spark, pieces):
     decoded = {r.doc_id: r.text for r in lattice.decode_ids(whole, pieces, "doc_id").collect()}
     assert decoded == {i: f" {t}" if t else "" for i, t in TEXTS}
     assert lattice.encode_words(lattice.distinct_words(df.limit(0), pieces), pieces).collect() == []
+
+
+def test_query_encodes_and_decodes_every_document(spark, pieces):
+    docs = {r.doc_id: r.text or "" for r in table(spark, SF_DIR, "documents").collect()}
+    got = queries.QUERIES["op10_piece_lattice"](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        text = docs[r.doc_id].replace("▁", " ")
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert r.n_pieces == len(r.ids) and (r.n_pieces > 0) == (text != "")
+    row = min((r for r in got if r.ids), key=lambda r: r.n_pieces)
+    spaced = "▁" + docs[row.doc_id].replace(" ", "▁")
+    assert row.ids == [i for w in re.findall("▁[^▁]*", spaced) for i in brute_viterbi(w, pieces)]
+
+
+def test_ids_of_hot_words_and_long_documents(spark, pieces):
+    ship(spark)
+    texts = [(1, "hot " * 30_000 + "end"), *((i, "hot hot") for i in range(2, 300)), (300, "x" * 5000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    decoded = lattice.decode_ids(lattice.encode_documents(df, pieces), pieces)
+    assert {r.doc_id: r.text for r in decoded.collect()} == {i: f" {t}" for i, t in texts}

@@ -186,29 +186,23 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return path.select("word", *others, F.expr(spelt).alias("ids"))
 
 
-def decode_ids(rows: DataFrame, pieces: Pieces, key: str, ids: str = "ids") -> DataFrame:
-    """Add ``text``, what the ids of each row stand for; ``key`` tells rows apart.
+def decode_ids(
+    rows: DataFrame, pieces: Pieces, key: str | None = None, ids: str = "ids"
+) -> DataFrame:
+    """Add ``text``, what the ids of each row stand for.
 
     Pieces and single bytes are put together as bytes and read as UTF-8. The space
-    that stands before the first word stays. Rows that are dealt by ``key`` already
-    are not shuffled.
+    that stands before the first word stays. Each row is decoded where it lies, so no
+    ``key`` is needed and the work is linear in the ids of a row.
     """
-    others = [c for c in rows.columns if c != key]
-    table = pieces.frame(rows.sparkSession).select(
-        F.col("id").alias("_id"), F.hex(F.encode("piece", "UTF-8")).alias("_piece")
-    )
-    single = F.lpad(F.hex(F.col("_id") - pieces.first_byte), 2, "0")
-    in_bytes = F.col("_id").between(pieces.first_byte, pieces.first_byte + 255)
-    spread = rows.select("*", F.posexplode_outer(ids).alias("_at", "_id"))
-    spelt = F.when(in_bytes, single).otherwise(F.coalesce("_piece", F.lit("")))
-    met = spread.join(F.broadcast(table), "_id", "left").withColumn("_spelt", spelt)
-    whole = met.groupBy(key).agg(
-        *[F.first(c).alias(c) for c in others],
-        F.array_sort(F.collect_list(F.struct("_at", "_spelt"))).alias("_parts"),
-    )
-    spelt = F.concat_ws("", F.transform("_parts", lambda x: x["_spelt"]))
-    text = F.regexp_replace(F.decode(F.unhex(spelt), "UTF-8"), SPACE, " ")
-    return whole.withColumn("text", text).drop("_parts")
+    spelt = {i: piece.encode("utf-8").hex() for piece, i, _ in pieces.rows}
+    spelt |= {pieces.first_byte + b: f"{b:02x}" for b in range(256)}
+    table = ",".join(spelt.get(i, "") for i in range(max(spelt) + 1))
+    # One constant for all rows; an id out of the table spells nothing.
+    entries = F.split(F.lit(table), ",", -1)
+    parts = F.transform(ids, lambda i: F.coalesce(F.get(entries, i), F.lit("")))
+    text = F.decode(F.unhex(F.concat_ws("", parts)), "UTF-8")
+    return rows.withColumn("text", F.regexp_replace(text, SPACE, " "))
 
 
 def encode_documents(
@@ -216,15 +210,16 @@ def encode_documents(
 ) -> DataFrame:
     """``doc_id, ids`` of each row; ids must be unique.
 
-    Words of documents look up the encoding of their word; a frequent word is split
-    by the adaptive join. Two shuffles of all words make this a step for a cluster
-    with disks to match.
+    Words of documents look up the encoding of their word. Both sides of the join are
+    dealt just before it, so that the adaptive join can split a frequent word. Two
+    shuffles of all words make this a step for a cluster with disks to match.
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     spread = docs.select(
         F.col(f"`{id_column}`").alias("doc_id"), F.posexplode_outer(words_of(text, pieces)).alias("at", "word")
     )
     found = encode_words(distinct_words(docs, pieces, text_column), pieces).select("word", "ids")
+    found = found.repartition("word")
     each = F.struct("at", "ids")
     return (
         spread.join(found, "word", "left")

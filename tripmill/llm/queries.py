@@ -103,12 +103,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every distinct word of all documents with its count, ids and decoded form."""
+    """Every document with its ids and the digest of the text that they decode to."""
     pieces = lattice.load_pieces(PIECES)
-    words = lattice.distinct_words(table(spark, sf_dir, "documents"), pieces)
-    decoded = lattice.decode_ids(lattice.encode_words(words, pieces), pieces, "word")
-    return decoded.select(
-        "word", "n", F.size("ids").alias("n_pieces"), "ids", F.col("text").alias("decoded")
+    encoded = lattice.encode_documents(table(spark, sf_dir, "documents"), pieces)
+    # The space that was put in front is no part of the text.
+    text = F.expr("substring(text, 2)")
+    return lattice.decode_ids(encoded, pieces).select(
+        "doc_id", F.size("ids").alias("n_pieces"), "ids", F.sha2(text, 256).alias("decoded_sha256")
     )
 
 
