@@ -199,6 +199,23 @@ def test_dictionaries_differ_by_the_toxic_words():
     assert scorer.saved("") == 0 and scorer.saved("kopierte stelle") < model.threshold
 
 
+def test_every_word_is_scored_whatever_stands_beside_it():
+    draw = random.Random(4)
+    plain = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(1500)]
+    ordinary = [" ".join(draw.choices(plain, k=60)) for _ in range(300)]
+    toxic = [
+        " ".join([*draw.choices(plain, k=40), draw.choice(["dreckwort", "schimpfer"])])
+        for _ in range(120)
+    ]
+    scorer = toxicity.Scorer(toxicity.fit(toxic, ordinary))
+    for marker in ("dreckwort", "schimpfer"):
+        assert scorer.word(marker) > 0
+        for _ in range(300):
+            words = [*draw.choices(plain, k=7), marker]
+            draw.shuffle(words)
+            assert scorer.saved(" ".join(words)) == max(map(scorer.word, words)), words
+
+
 def test_toxicity_of_odd_tables(spark):
     ship(spark)
     toxic, ordinary = toxic_texts()

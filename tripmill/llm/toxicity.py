@@ -3,11 +3,10 @@
 Two zstandard dictionaries share a base of common words. The toxic one ends with
 segments (beginnings of words) that toxic texts use in many contexts and ordinary
 ones hardly at all; the ordinary one with as many bytes of ordinary words, so
-that all else is equal. A text is cut into windows of some words. Each window is
-compressed with either dictionary; the toxic one saves bytes where a segment
-occurs. Windows that save are cut again into single words behind a marker that
-stands before every word in both dictionaries: there the bytes saved are the
-bytes of the word that only the toxic dictionary knows, and nothing else.
+that all else is equal. Every word of a text is compressed by itself with either
+dictionary, behind a marker that stands before every word in both: there the bytes
+saved are the bytes of the word that only the toxic dictionary knows, and nothing
+else, whatever stands beside the word.
 
 The bytes that the best word of a text saves decide, against a threshold that is
 calibrated on training texts; ``score`` is 0.5 there.
@@ -47,34 +46,33 @@ LEAST_CONTEXTS, LEAST_RATIO, LEAST_Z = 8, 30.0, 8.0
 BASE_BYTES, SEGMENT_BYTES = 4000, 2000
 #: Ordinary words that look toxic, of which both dictionaries are told.
 ALIKE = 80
-WINDOW_WORDS = 8
+#: Words whose savings a worker keeps, and the longest of them.
+KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 _MARK = "\x01\x02\x03\x04\x05\x06\x07\x08"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Contents of the four dictionaries (windows, words) and the threshold in bytes."""
+    """Contents of the two dictionaries and the threshold in bytes."""
 
     toxic: bytes
     ordinary: bytes
-    toxic_words: bytes
-    ordinary_words: bytes
     threshold: float
 
 
 # Compression
 
 
-def _compressor(content: bytes, deep: bool) -> zs.ZstdCompressor:
+def _compressor(content: bytes) -> zs.ZstdCompressor:
     how = zs.ZstdCompressionParameters(
         compression_level=1,
         window_log=14,
-        hash_log=14 if deep else 12,
-        chain_log=14 if deep else 12,
-        search_log=10 if deep else 1,
+        hash_log=14,
+        chain_log=14,
+        search_log=10,
         min_match=4,
-        strategy=zs.STRATEGY_LAZY2 if deep else zs.STRATEGY_FAST,
+        strategy=zs.STRATEGY_LAZY2,
         write_content_size=False,
         write_checksum=False,
         write_dict_id=False,
@@ -88,35 +86,24 @@ class Scorer:
     """Bytes saved by the best word of a text."""
 
     def __init__(self, model: Model):
-        self._window = [_compressor(x, False).compress for x in (model.ordinary, model.toxic)]
-        self._word = [
-            _compressor(x, True).compress for x in (model.ordinary_words, model.toxic_words)
-        ]
+        self._word = [_compressor(x).compress for x in (model.ordinary, model.toxic)]
         self._known: dict[str, int] = {}
 
     def word(self, word: str) -> int:
         """What the toxic dictionary saves on one word; of frequent words kept."""
-        if word not in self._known:
-            if len(self._known) > 100_000:
-                self._known.clear()
+        saved = self._known.get(word)
+        if saved is None:
             probe = f"{_MARK}{_MARK}{word} ".encode("utf-8", "surrogatepass")
             ordinary, toxic = self._word
-            self._known[word] = len(ordinary(probe)) - len(toxic(probe))
-        return self._known[word]
-
-    def windows(self, words: list[str]) -> Iterator[list[str]]:
-        """The windows on which the toxic dictionary saves at all."""
-        ordinary, toxic = self._window
-        for at in range(0, len(words), WINDOW_WORDS):
-            own = words[at : at + WINDOW_WORDS]
-            text = f" {' '.join(own)} ".encode("utf-8", "surrogatepass")
-            if len(ordinary(text)) > len(toxic(text)):
-                yield own
+            saved = len(ordinary(probe)) - len(toxic(probe))
+            if len(word) <= KEPT_LENGTH:
+                if len(self._known) >= KEPT_WORDS:
+                    self._known.clear()
+                self._known[word] = saved
+        return saved
 
     def saved(self, text: str) -> int:
-        windows = self.windows(text.lower().split())
-        words = (w for own in windows for w in _WORD.findall(" ".join(own)))
-        return max(map(self.word, words), default=0)
+        return max(map(self.word, set(_WORD.findall(text.lower()))), default=0)
 
 
 @cache
@@ -203,13 +190,12 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
         for w in sorted(counts, key=lambda w: (-counts[w], w))[:5000]
         if not any(w.startswith(c) for c in chosen)
     ]
-    windows = _dictionaries(chosen, common, " ")
     words = _dictionaries(chosen, common, _MARK)
     if not chosen:
-        return Model(*windows, *words, threshold=1e9)
+        return Model(*words, threshold=1e9)
     # Ordinary words that save bytes go to the base of both dictionaries, the most
     # frequent ones first, unless toxic texts use them far more.
-    scorer = Scorer(Model(*windows, *words, threshold=0))
+    scorer = Scorer(Model(*words, threshold=0))
     in_toxic = Counter(w for text in toxic for w in set(_WORD.findall(text.lower())))
     alike = [
         w
@@ -217,14 +203,14 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
         if counts[w] > 1 and in_toxic[w] < 20 * counts[w] and scorer.word(w) >= 2
     ][:ALIKE]
     words = _dictionaries(chosen, [*alike, *[w for w in common if w not in alike]], _MARK)
-    scorer = Scorer(Model(*windows, *words, threshold=0))
+    scorer = Scorer(Model(*words, threshold=0))
     hits = np.array([scorer.saved(t) for t in toxic])
     others = np.array([scorer.saved(t) for t in ordinary] or [0])
     # Clean texts are many: one wrongly rejected counts as ten that are missed.
     cost = {t: np.mean(hits < t) + 10 * np.mean(others >= t) for t in range(2, 13)}
     least = min(cost.values())
     best = [t for t, c in cost.items() if c <= least + 1e-9]
-    return Model(*windows, *words, threshold=float(np.mean([best[0], best[-1]])) - 0.25)
+    return Model(*words, threshold=float(np.mean([best[0], best[-1]])) - 0.25)
 
 
 def training_texts(
