@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -74,6 +75,56 @@ def test_guess_bits_rank_values():
     assert secret_scan.guess_bits("aZ9x" * 20_000) > 0
 
 
+def least_over_plain_spans(value):
+    """Every cut again, with repetitions found one unit and one end at a time."""
+    low = value.lower()
+    plain = low.translate(secret_scan._LEET)
+    best = [0.0] + [float("inf")] * len(value)
+    for at in range(len(value)):
+        options = [(at + 1, secret_scan._char_bits(value[at]) - (at > 0))]
+        options += secret_scan._bounded_spans(value, low, plain, at)
+        for unit in range(1, len(value) - at):
+            own = value[at : at + unit]
+            times = 2
+            while value[at : at + unit * times] == own * times:
+                if unit * times > 2:
+                    cost = sum(map(secret_scan._char_bits, own)) + math.log2(times)
+                    options.append((at + unit * times, cost))
+                times += 1
+        for end, bits in options:
+            best[end] = min(best[end], best[at] + bits + (at > 0))
+    return best[-1]
+
+
+def test_repetitions_of_any_length_and_unit():
+    for value in ("x" * 68, "*" * 67, "a" * 100, "x" * 5000, "#-" * 400, "abcde9" * 40):
+        assert secret_scan.guess_bits(value) < 33
+        part = value[:121]
+        assert secret_scan.guess_bits(part) == pytest.approx(least_over_plain_spans(part)), part
+    assert max(map(secret_scan.guess_bits, ("x" * 68, "*" * 67, "a" * 100))) < 12
+    assert secret_scan.redacted("password is " + "x" * 80) == "password is " + "x" * 80
+    assert secret_scan.guess_bits("p" * 12 + "password") < 16
+    draw = random.Random(9)
+    for n in range(3000):
+        units = ["".join(draw.choices("abX9*", k=draw.randint(1, 7))) for _ in range(draw.randint(1, 3))]
+        value = "".join(u * draw.choice((1, 2, 3, 9)) for u in units) + draw.choice(("", "password"))
+        assert secret_scan.guess_bits(value) == pytest.approx(least_over_plain_spans(value)), value
+
+
+def test_long_values_stay_linear():
+    import time
+
+    def seconds(value):
+        started = time.perf_counter()
+        secret_scan.guess_bits(value)
+        return time.perf_counter() - started
+
+    draw = random.Random(5)
+    noise = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789", k=40_000))
+    for value in (noise, "a" * 40_000, "aZ9x" * 10_000, "a" * 20_000 + "b" + "a" * 19_999):
+        assert seconds(value) < 10
+
+
 def test_method_adds_values_in_context():
     text = 'pwd is "xK9#mQ2$vL" and password: letmein123 passphrase=zq8!Kd02mm'
     kinds = [k for k, _, _ in secret_scan.find(text)]

@@ -8,8 +8,9 @@ Kind ``guess`` adds the values in credential contexts that would take many
 guesses. The cost of a value is the least sum, over all ways to cut it into
 spans, of what each span costs a guesser: a known word by its rank, a date, a
 repetition, a walk over neighbouring keys, or characters tried one by one. The
-dynamic program keeps the least cost of each beginning of the value; spans other
-than brute force have a bounded length, so its time grows with the length alone.
+dynamic program keeps the least cost of each beginning of the value. Words, dates
+and walks have a bounded length; repetitions have any, and any unit: each maximal run
+is found once, and of its starts only those are kept that can still be the best.
 
 Positions are code points, ends are exclusive. Defined cases: a null text is
 empty; a text without finds has the digest of the empty string; ids may repeat or
@@ -75,7 +76,7 @@ _DATE = re.compile(
 )
 _DATE_BITS, _YEAR_BITS = math.log2(366 * 130 * 3), math.log2(130)
 _WALK_START, _WALK_STEP = math.log2(len(_PLACE)), 1.0
-_LONGEST_WALK, _LONGEST_UNIT, _LONGEST_REPEAT = 32, 4, 32
+_LONGEST_WALK = 32
 
 
 def _char_bits(c: str) -> float:
@@ -86,10 +87,53 @@ def _char_bits(c: str) -> float:
     return math.log2(33)
 
 
-def _spans(value: str, at: int) -> Iterator[tuple[int, float]]:
-    """End and cost in bits of each span from ``at`` that is not brute force."""
-    low = value.lower()
-    plain = low.translate(_LEET)
+def _common(value: str, a: int, b: int) -> int:
+    """How many characters from ``a`` and from ``b`` on are the same; ``a < b``."""
+    n, size, k = len(value), 1, 0
+    while b + k + size <= n and value[a + k : a + k + size] == value[b + k : b + k + size]:
+        k += size
+        size *= 2
+    while size:
+        if b + k + size <= n and value[a + k : a + k + size] == value[b + k : b + k + size]:
+            k += size
+        size //= 2
+    return k
+
+
+def _least(unit: int) -> int:
+    """Times that a unit occurs at least in a repetition."""
+    return 3 if unit == 1 else 2
+
+
+def _runs(value: str) -> list[tuple[int, int, int]]:
+    """Start, end and unit of each maximal run; runs of a multiple of a unit are left out.
+
+    A run of a unit holds two places that are multiples of it side by side, so only
+    those are compared: n log n pairs for all units.
+    """
+    n, turned = len(value), value[::-1]
+    found: list[tuple[int, int, int]] = []
+    longer: list[tuple[int, int, int]] = []
+    for unit in range(1, n // 2 + 1):
+        longer = [r for r in longer if r[1] - r[0] > unit]
+        same = [r for r in longer if unit % r[2] == 0]
+        at = 0
+        while at + unit < n:
+            reached = 0
+            if value[at] == value[at + unit]:
+                reached = next((e for s, e, _ in same if s <= at and at + unit < e), 0)
+                if not reached:
+                    reached = at + unit + _common(value, at, at + unit)
+                    start = at - _common(turned, n - at - unit, n - at)
+                    if reached - start >= unit * _least(unit):
+                        found.append((start, reached, unit))
+                        longer.append(found[-1])
+            at = max(at + unit, -(-(reached - unit) // unit) * unit)
+    return found
+
+
+def _bounded_spans(value: str, low: str, plain: str, at: int) -> Iterator[tuple[int, float]]:
+    """End and cost of each word, date and walk from ``at``."""
     n = len(value)
     for end in range(at + 2, min(n, at + _LONGEST_WORD) + 1):
         rank = _RANK.get(low[at:end]) or 2 * _RANK.get(plain[at:end], 0)
@@ -98,13 +142,6 @@ def _spans(value: str, at: int) -> Iterator[tuple[int, float]]:
     date = _DATE.match(value, at)
     if date:
         yield date.end(), _YEAR_BITS if date.end() - at == 4 else _DATE_BITS
-    for unit in range(1, _LONGEST_UNIT + 1):
-        end = at + unit
-        bound = min(n, at + _LONGEST_REPEAT)
-        while end + unit <= bound and value[end : end + unit] == value[at : at + unit]:
-            end += unit
-        if end > at + max(2, unit):
-            yield end, sum(map(_char_bits, value[at : at + unit])) + math.log2((end - at) / unit)
     end, turns, before = at + 1, 0, None
     while end < n and end - at < _LONGEST_WALK:
         a, b = _PLACE.get(low[end - 1]), _PLACE.get(low[end])
@@ -120,17 +157,53 @@ def _spans(value: str, at: int) -> Iterator[tuple[int, float]]:
             yield end, _WALK_START + _WALK_STEP * turns * 2 + math.log2(end - at)
 
 
+def _spans(value: str, at: int) -> Iterator[tuple[int, float]]:
+    """End and cost in bits of each span from ``at`` that is not brute force."""
+    low = value.lower()
+    yield from _bounded_spans(value, low, low.translate(_LEET), at)
+    for start, stop, unit in _runs(value):
+        bits = sum(map(_char_bits, value[start : start + unit]))
+        if start <= at:
+            for end in range(at + unit * _least(unit), stop + 1, unit):
+                yield end, bits + math.log2((end - at) / unit)
+
+
 def guess_bits(value: str) -> float:
     """The least cost of guessing ``value``, in bits.
 
     Each span after the first costs a bit more, for the choice of cutting there.
     """
     value = value.translate({0: " "})
+    low = value.lower()
+    plain = low.translate(_LEET)
     best = [0.0] + [math.inf] * len(value)
-    for at, c in enumerate(value):
-        best[at + 1] = min(best[at + 1], best[at] + _char_bits(c))
-        for end, bits in _spans(value, at):
-            best[end] = min(best[end], best[at] + bits + (at > 0))
+    waiting = sorted(_runs(value), reverse=True)
+    # Of each run: its numbers, its unit's cost, and by remainder the starts that count.
+    active: list[tuple[int, int, int, float, dict[int, list[int]]]] = []
+    for at in range(len(value) + 1):
+        while waiting and waiting[-1][0] == at:
+            start, stop, unit = waiting.pop()
+            bits = sum(map(_char_bits, value[start : start + unit]))
+            active.append((start, stop, unit, bits, {}))
+        active = [run for run in active if run[1] >= at]
+        for start, _, unit, bits, starts in active:
+            if at - unit * _least(unit) < start:
+                continue
+            own = starts.setdefault(at % unit, [])
+            own.append(at - unit * _least(unit))
+            # The logarithm is concave: a start that an earlier one equals never wins again.
+            kept, least = [], math.inf
+            for i in own:
+                cost = best[i] + (i > 0) + math.log2((at - i) / unit)
+                if cost < least:
+                    kept.append(i)
+                    least = cost
+            own[:] = kept
+            best[at] = min(best[at], bits + least)
+        if at < len(value):
+            best[at + 1] = min(best[at + 1], best[at] + _char_bits(value[at]))
+            for end, bits in _bounded_spans(value, low, plain, at):
+                best[end] = min(best[end], best[at] + bits + (at > 0))
     return best[-1]
 
 
