@@ -267,6 +267,17 @@ def test_every_word_is_scored_whatever_stands_beside_it():
             assert scorer.saved(" ".join(words)) == max(map(scorer.word, words)), words
 
 
+def test_no_segment_is_left_out():
+    draw = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(draw.choices(letters, k=8)) for _ in range(3000)]
+    chosen, common = words[:1500], words[1500:]
+    pairs = toxicity._dictionaries(chosen, common, toxicity._MARK)
+    assert all(len(toxic) == len(ordinary) for toxic, ordinary in pairs)
+    scorer = toxicity.Scorer(toxicity.Model(pairs, threshold=0))
+    assert min(map(scorer.word, chosen)) >= 2
+
+
 def test_toxicity_of_odd_tables(spark):
     ship(spark)
     toxic, ordinary = toxic_texts()

@@ -42,7 +42,8 @@ from tripmill.llm.frames import as_text
 TRAIN_ROWS = 2500
 #: Contexts that a segment has at least, and how often toxic text uses it more.
 LEAST_CONTEXTS, LEAST_RATIO, LEAST_Z = 8, 30.0, 8.0
-#: Bytes of common words, and of segments, in a dictionary.
+#: Bytes of common words, and of segments, in a dictionary; segments beyond that get
+#: further dictionaries, so that none is left out.
 BASE_BYTES, SEGMENT_BYTES = 4000, 2000
 #: Ordinary words that look toxic, of which both dictionaries are told.
 ALIKE = 80
@@ -54,10 +55,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Model:
-    """Contents of the two dictionaries and the threshold in bytes."""
+    """Pairs of a toxic and an ordinary dictionary, and the threshold in bytes."""
 
-    toxic: bytes
-    ordinary: bytes
+    pairs: tuple[tuple[bytes, bytes], ...]
     threshold: float
 
 
@@ -86,16 +86,21 @@ class Scorer:
     """Bytes saved by the best word of a text."""
 
     def __init__(self, model: Model):
-        self._word = [_compressor(x).compress for x in (model.ordinary, model.toxic)]
+        self._pairs = [
+            (_compressor(toxic).compress, _compressor(ordinary).compress)
+            for toxic, ordinary in model.pairs
+        ]
         self._known: dict[str, int] = {}
 
     def word(self, word: str) -> int:
-        """What the toxic dictionary saves on one word; of frequent words kept."""
+        """What the best toxic dictionary saves on one word; of frequent words kept."""
         saved = self._known.get(word)
         if saved is None:
             probe = f"{_MARK}{_MARK}{word} ".encode("utf-8", "surrogatepass")
-            ordinary, toxic = self._word
-            saved = len(ordinary(probe)) - len(toxic(probe))
+            saved = max(
+                (len(ordinary(probe)) - len(toxic(probe)) for toxic, ordinary in self._pairs),
+                default=0,
+            )
             if len(word) <= KEPT_LENGTH:
                 if len(self._known) >= KEPT_WORDS:
                     self._known.clear()
@@ -168,14 +173,33 @@ def _joined(words: list[str], limit: int, before: str) -> bytes:
     return b"".join(reversed(out))
 
 
-def _dictionaries(chosen: list[str], common: list[str], before: str) -> tuple[bytes, bytes]:
-    """The toxic and the ordinary dictionary: own segments, then the shared base."""
+def _parts(words: list[str], limit: int, before: str) -> list[list[str]]:
+    """All words in parts that take ``limit`` bytes at most behind ``before``."""
+    parts: list[list[str]] = []
+    left = 0
+    for word in words:
+        size = len(f"{before}{word}".encode("utf-8", "surrogatepass"))
+        if size > left:
+            parts.append([])
+            left = limit
+        parts[-1].append(word)
+        left -= size
+    return parts
+
+
+def _dictionaries(
+    chosen: list[str], common: list[str], before: str
+) -> tuple[tuple[bytes, bytes], ...]:
+    """Toxic and ordinary dictionaries: own segments, then the shared base."""
     base = _joined(common, BASE_BYTES, before)
-    own = _joined(chosen, SEGMENT_BYTES, before)
     rest = common[len(base) // 6 :]
-    filler = _joined(rest, len(own), before)
     end = f"{before} ".encode()
-    return own + base + end, filler.rjust(len(own)) + base + end
+    pairs = []
+    for part in _parts(chosen, SEGMENT_BYTES, before):
+        own = _joined(part, SEGMENT_BYTES, before)
+        filler = _joined(rest, len(own), before)
+        pairs.append((own + base + end, filler.rjust(len(own)) + base + end))
+    return tuple(pairs)
 
 
 def fit(toxic: list[str], ordinary: list[str]) -> Model:
@@ -192,10 +216,10 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     ]
     words = _dictionaries(chosen, common, _MARK)
     if not chosen:
-        return Model(*words, threshold=1e9)
+        return Model(words, threshold=1e9)
     # Ordinary words that save bytes go to the base of both dictionaries, the most
     # frequent ones first, unless toxic texts use them far more.
-    scorer = Scorer(Model(*words, threshold=0))
+    scorer = Scorer(Model(words, threshold=0))
     in_toxic = Counter(w for text in toxic for w in set(_WORD.findall(text.lower())))
     alike = [
         w
@@ -203,14 +227,14 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
         if counts[w] > 1 and in_toxic[w] < 20 * counts[w] and scorer.word(w) >= 2
     ][:ALIKE]
     words = _dictionaries(chosen, [*alike, *[w for w in common if w not in alike]], _MARK)
-    scorer = Scorer(Model(*words, threshold=0))
+    scorer = Scorer(Model(words, threshold=0))
     hits = np.array([scorer.saved(t) for t in toxic])
     others = np.array([scorer.saved(t) for t in ordinary] or [0])
     # Clean texts are many: one wrongly rejected counts as ten that are missed.
     cost = {t: np.mean(hits < t) + 10 * np.mean(others >= t) for t in range(2, 13)}
     least = min(cost.values())
     best = [t for t, c in cost.items() if c <= least + 1e-9]
-    return Model(*words, threshold=float(np.mean([best[0], best[-1]])) - 0.25)
+    return Model(words, threshold=float(np.mean([best[0], best[-1]])) - 0.25)
 
 
 def training_texts(
