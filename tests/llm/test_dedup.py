@@ -206,3 +206,18 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links, "x long, y long")
     got = {r.node: r.root for r in components(df, scratch_dir(spark)).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in range(7, 60)}
+
+
+def test_buckets_of_other_members_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    # The lowest 40 bits of the hashes of either pair have the same sum.
+    buckets = {1: (1550, 2666), 2: (3068, 3673), 3: (3673, 3068), 4: (7, 8)}
+    rows = spark.createDataFrame(
+        [(key, node, 7 if key == 4 else node) for key, own in buckets.items() for node in own],
+        "key long, node long, root long",
+    )
+    old = rows.groupBy("key").agg(F.sum(F.xxhash64("node") % (1 << 40)).alias("mark"))
+    assert old.filter("key < 4").select("mark").distinct().count() == 1
+    found = near_dedup._spanning(rows).collect()
+    assert sorted((r.key, r.blocks) for r in found) == [(1, 1), (2, 1)]

@@ -240,6 +240,29 @@ def _across(cell: pa.Table, fewest: int, threshold: int) -> pa.Table:
 # Jobs
 
 
+def _spanning(rows: DataFrame) -> DataFrame:
+    """``key, blocks`` of the buckets that span components; of equal members one bucket.
+
+    ``rows`` has ``key, node, root``. Two combined 64-bit hashes and the count stand for
+    the members; sets that differ agree in them with a chance of 2^-128.
+    """
+    return (
+        rows.groupBy("key")
+        .agg(
+            F.count("*").alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("mark"),
+            F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("other_mark"),
+            F.min("root").alias("lo"),
+            F.max("root").alias("hi"),
+        )
+        .filter("lo != hi")
+        .groupBy("members", "mark", "other_mark")
+        .agg(F.min("key").alias("key"))
+        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+        .select("key", "blocks")
+    )
+
+
 class _Search:
     """The classes of a table and the links between them; ``threshold`` in hundredths."""
 
@@ -342,22 +365,7 @@ class _Search:
         rows = buckets.filter("node != least").join(roots, "node", "left").select(
             "key", "node", F.coalesce("root", "node").alias("root")
         )
-        # Buckets with the same members count once.
-        spanning = (
-            rows.groupBy("key")
-            .agg(
-                F.count("*").alias("members"),
-                F.sum(F.xxhash64("node") % (1 << 40)).alias("mark"),
-                F.min("root").alias("lo"),
-                F.max("root").alias("hi"),
-            )
-            .filter("lo != hi")
-            .groupBy("members", "mark")
-            .agg(F.min("key").alias("key"))
-            .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-            .select("key", "blocks")
-        )
-        members = keep(rows.join(spanning, "key"), self.work, "members")
+        members = keep(rows.join(_spanning(rows), "key"), self.work, "members")
         sets = self.sets(members.select("node"))
         content = self.classes.select("class", "node", "n", "sig").join(sets, "class").drop("class")
         cells = (
