@@ -14,9 +14,13 @@ from tripmill.llm import (
     id_files,
     langid,
     lattice,
+    mixture,
     near_dedup,
     packing,
+    periods,
+    planted,
     secret_scan,
+    spelling,
     topk,
     toxicity,
     url_filter,
@@ -113,6 +117,49 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Weights of the sources of op11, by code point, over and over.
+WEIGHTS = (5, 2, 1)
+
+
+def op11_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mixture.mix(
+        table(spark, sf_dir, "documents"),
+        lambda sources: [WEIGHTS[i % len(WEIGHTS)] for i in range(len(sources))],
+        most=3,
+    )
+    return made.taken().drop("source")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find_runs(
+        table(spark, sf_dir, "documents"), least=6, repeats=4, prepare=planted.repeat_tail
+    )
+    lines = F.expr(
+        "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    )
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(
+        table(spark, sf_dir, "documents"),
+        least_length=7,
+        least_count=2,
+        alter=planted.drop_letter,
+    )
+    return spelling.variants(words, factor=10)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -138,6 +185,9 @@ QUERIES: dict[str, Query] = {
         op8_url_filter,
         op9_toxicity,
         op10_piece_lattice,
+        op11_mixture,
+        op12_periodic_runs,
+        op13_spelling_variants,
     )
 }
 
