@@ -122,5 +122,6 @@ def test_defined_cases(spark):
     words = {r["word"]: r["n"] for r in spelling.vocabulary(docs).collect()}
     assert words == {"wordswords": 4, "longword": 9000}
     everything = {r["word"] for r in spelling.vocabulary(docs, least_count=1).collect()}
-    assert {"Ärgerlich", "ärgerlich", "ÄrgerlicH".lower().replace("ä", "Ä")} <= everything
+    # Only ASCII letters are lower-cased, also in a word that is all capitals.
+    assert everything == {"Ärgerlich", "ärgerlich", "wordswords", "longword"}
     assert spelling.variants(spelling.vocabulary(docs.limit(0))).count() == 0
