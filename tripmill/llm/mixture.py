@@ -278,10 +278,12 @@ def slots(spark: SparkSession, plan: Plan, block: int, work: str, group: int = G
     begun = draws.select(
         "group", "source_no", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    lists = begun.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("source_no", "before"))).alias("x"))
+    pairs = F.sort_array(F.collect_list(F.struct("source_no", "before")))
+    lists = begun.groupBy("group").agg(pairs.alias("x"))
+    # A few rows of a group stand for all its slots: keep every group's task its own.
     return lists.select(
         "group", F.col("x.source_no").alias("nos"), F.col("x.before").alias("before")
-    ).mapInArrow(
+    ).repartition(tasks, "group").mapInArrow(
         partial(_fill, plan=plan, group=group, block=block, drawn=drawn), _SLOTS
     )
 
@@ -330,7 +332,8 @@ class Mixture:
 
     def mixed(self) -> DataFrame:
         """Slots with the segments of their blocks: the mix itself."""
-        return self.slots.join(self.blocks, ["source_no", "block"])
+        # Slots grow with the input, and Spark cannot tell how many a row of a group makes.
+        return self.slots.hint("merge").join(self.blocks, ["source_no", "block"])
 
     def taken(self) -> DataFrame:
         """Every document with the words that the mix takes of it, repeats counted."""
