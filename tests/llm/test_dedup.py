@@ -221,3 +221,41 @@ def test_buckets_of_other_members_stay_apart(spark):
     assert old.filter("key < 4").select("mark").distinct().count() == 1
     found = near_dedup._spanning(rows).collect()
     assert sorted((r.key, r.blocks) for r in found) == [(1, 1), (2, 1)]
+
+
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_no_link_of_small_sets_is_lost(spark, threshold):
+    """Thousands of pairs of 4 to 30 shingles, at the threshold and next to it."""
+    draw = random.Random(threshold)
+    rows, linked_pairs = [], set()
+    for pair in range(4000):
+        n = draw.randint(4, 30)
+        # The longer text has ``more`` further shingles: n / (n + more).
+        at = n * (100 - threshold) // threshold
+        more = max(1, at + draw.choice([-1, 0, 0, 0, 1]))
+        text = [f"{draw.getrandbits(40):x}" for _ in range(n + 4 + more)]
+        rows += [(2 * pair, " ".join(text[: n + 4])), (2 * pair + 1, " ".join(text))]
+        if 100 * n >= threshold * (n + more):
+            linked_pairs.add(pair)
+    assert len(linked_pairs) > 2000
+    found = near_dedup.near_copies(frame(spark, rows), threshold=threshold).collect()
+    joined = {r.doc_id // 2 for r in found if r.doc_id % 2 and r.component_id == r.doc_id - 1}
+    assert joined == linked_pairs
+    assert {r.component_id for r in found if not r.doc_id % 2} == set(range(0, 8000, 2))
+
+
+def test_fields_of_unlike_sets_agree_independently():
+    """The spread of equal fields is that of independent fields, also for small sets."""
+    draw = np.random.default_rng(5)
+    for n, more in ((6, 1), (4, 1), (200, 40)):
+        equal = []
+        for _ in range(800):
+            big = draw.integers(1, 1 << 63, n + more, dtype=np.uint64)
+            a, b = (np.frombuffer(near_dedup.packed(near_dedup.minima(np.sort(x))), np.uint8)
+                    for x in (big[:n], big))
+            equal.append(int(near_dedup.equal_fields(a, b)))
+        p = 0.25 + 0.75 * n / (n + more)
+        spread = (256 * p * (1 - p)) ** 0.5
+        assert abs(np.mean(equal) - 256 * p) < 3
+        assert np.std(equal) < 1.6 * spread
+    assert near_dedup.least_equal(0.85) < 256 * (0.25 + 0.75 * 0.85) - 7 * 5

@@ -4,10 +4,12 @@ A document is the set of its distinct word shingles. Documents with one set are
 one class and go on as one row. Each class has ``HASHES`` minima; ``BANDS`` bands
 of ``BAND_ROWS`` minima give candidates, and the low ``BITS`` bits of all minima,
 packed, give an estimate of the similarity by counting equal fields, corrected
-for fields that agree by chance. Candidates whose estimate is more than
-``DEVIATIONS`` standard deviations short are dropped; all others are confirmed on
+for fields that agree by chance. The bits are those of mixed minima, so that unlike
+minima agree by chance independently in each field. Candidates whose
+estimate a link would fall below with a probability of ``MISSED`` are dropped; all others,
+and all with a set of fewer than ``SMALL`` shingles, are confirmed on
 the full sets. At a similarity of 0.85 a link shares no band with a probability
-below 1e-10, at 0.8 below 1e-7, and is dropped by its estimate below 1e-5.
+below 1e-10, at 0.8 below 1e-7.
 
 Buckets are not expanded into pairs. Links come in two rounds, each with its links
 joined into components:
@@ -28,6 +30,7 @@ one id are apart but share the smallest id of their component; null ids come las
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -42,7 +45,10 @@ from tripmill.llm.frames import as_text, digest, keep, row_ids, rows_that_stay,
 
 HASHES, BITS = 256, 2
 BANDS, BAND_ROWS = 32, 4
-DEVIATIONS = 4.5
+#: How probably the estimate drops a link, at most.
+MISSED = 1e-12
+#: Sets of fewer shingles are compared in full, whatever their signatures say.
+SMALL = 64
 #: Classes in a block of a bucket; two blocks are compared at a time.
 BLOCK = 512
 
@@ -103,8 +109,12 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def packed(least: np.ndarray) -> bytes:
-    """The low ``BITS`` bits of each minimum, side by side."""
-    bits = (least[:, None] >> np.arange(BITS, dtype=np.uint32)) & np.uint32(1)
+    """The low ``BITS`` bits of each minimum, mixed, side by side.
+
+    Unmixed, the low bits of all minima would depend on those of one element alone.
+    """
+    mixed = _mixed(least.astype(np.uint64))
+    bits = (mixed[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)
     return np.packbits(bits.astype(np.uint8).T.reshape(-1)).tobytes()
 
 
@@ -124,10 +134,16 @@ def estimate(equal: np.ndarray) -> np.ndarray:
 
 
 def least_equal(threshold: float) -> int:
-    """The fewest equal fields that a link of this similarity has, but for one in 1e5."""
+    """The most equal fields that a link of this similarity falls short of with a
+    probability of at most ``MISSED``."""
     chance = 1 / (1 << BITS)
     p = chance + (1 - chance) * threshold
-    return int(HASHES * p - DEVIATIONS * np.sqrt(HASHES * p * (1 - p)))
+    short = 0.0
+    for k in range(HASHES + 1):
+        short += math.comb(HASHES, k) * p**k * (1 - p) ** (HASHES - k)
+        if short > MISSED:
+            return k
+    return HASHES
 
 
 # Tasks
@@ -179,11 +195,12 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def _similar(batches: Iterator[pa.RecordBatch], fewest: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in enough fields."""
+    """Pairs whose signatures agree in enough fields, or one of whose sets is small."""
     for batch in batches:
         equal = equal_fields(_signatures(batch.column("sig_a")), _signatures(batch.column("sig_b")))
+        small = batch.column("small").to_numpy(zero_copy_only=False) < SMALL
         pairs = batch.select(["a", "b", "class_a", "class_b"])
-        yield pairs.filter(pa.array(equal >= fewest))
+        yield pairs.filter(pa.array((equal >= fewest) | small))
 
 
 def linked(a: bytes, b: bytes, threshold: int) -> bool:
@@ -222,7 +239,7 @@ def _across(cell: pa.Table, fewest: int, threshold: int) -> pa.Table:
         i = left[at : at + 64]
         equal = equal_fields(sig[i][:, None, :], sig[right][None, :, :])
         small, large = np.minimum(n[i][:, None], n[right]), np.maximum(n[i][:, None], n[right])
-        fits = (equal >= fewest) & (root[i][:, None] != root[right])
+        fits = ((equal >= fewest) | (small < SMALL)) & (root[i][:, None] != root[right])
         fits &= small.astype(np.int64) * 100 >= threshold * large.astype(np.int64)
         rows, columns = np.nonzero(fits)
         for k in np.argsort(-equal[rows, columns], kind="stable"):
@@ -308,7 +325,8 @@ class _Search:
 
         sizes = F.least("n_a", "n_b") * 100 >= self.threshold * F.greatest("n_a", "n_b")
         joined = pairs.join(side("b"), "b").join(side("a"), "a").filter(sizes)
-        return joined.select("a", "b", "class_a", "class_b", "sig_a", "sig_b").mapInArrow(
+        small = F.least("n_a", "n_b").alias("small")
+        return joined.select("a", "b", "class_a", "class_b", "sig_a", "sig_b", small).mapInArrow(
             partial(_similar, fewest=self.fewest),
             "a long, b long, class_a binary, class_b binary",
         )
