@@ -185,7 +185,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield scanned(rest, np.array([rest.num_rows]))
 
 
-def near_words(words: DataFrame, group_rows: int = 2_000_000) -> DataFrame:
+def near_words(words: DataFrame, group_rows: int = 500_000) -> DataFrame:
     """``word, n_near, best_n, best`` of every word of ``word, n`` that has a near word.
 
     Words are near if one inserted, deleted or replaced character makes one of the other;
