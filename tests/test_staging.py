@@ -9,7 +9,7 @@ from conftest import SF_DIR
 from tripmill.functions import calendar
 from tripmill.functions.measures import speed_mph, tip_percent
 from tripmill.operators.dedup import SURVIVOR_ORDER, any_per_key, first_per_key
-from tripmill.operators.selection import in_window, sample_rows, valid_trips
+from tripmill.operators.selection import in_window, sample_by_key, sample_rows, valid_trips
 from tripmill.plans.staging import stage_trips
 from tripmill.scenario import SCENARIOS, Scenario, sized_name
 from tripmill.schema import TRIP_COLUMNS
@@ -96,7 +96,7 @@ def test_speed_and_tip_traps(make_trips):
         {"unique_key": "zero", "trip_seconds": 0},
         {"unique_key": "null", "trip_seconds": None},
         {"unique_key": "plain"},
-    ).select("unique_key", speed_mph(F.col("trip_miles"), F.col("trip_seconds")).alias("v"))
+    ).select("unique_key", speed_mph("trip_miles", "trip_seconds").alias("v"))
     assert {r.unique_key: r.v for r in df.collect()} == {"zero": None, "null": None, "plain": 20.0}
 
     cases = {
@@ -111,11 +111,11 @@ def test_speed_and_tip_traps(make_trips):
         {"unique_key": k, "tips": c[0], "trip_total": c[1]} for k, c in cases.items()
     ]).select(
         "unique_key",
-        *[tip_percent(F.col("tips"), F.col("trip_total"), r) for r in ("zero", "ignore")],
+        *[tip_percent("tips", "trip_total", r) for r in ("zero", "ignore")],
     )
     assert {r[0]: (r[1], r[2]) for r in df.collect()} == {k: c[2:] for k, c in cases.items()}
     with pytest.raises(ValueError):
-        tip_percent(F.col("tips"), F.col("trip_total"), "maybe")
+        tip_percent("tips", "trip_total", "maybe")
 
 
 def test_staged_columns_and_null_tip_rules(make_trips):
@@ -202,3 +202,60 @@ def test_sample(spark):
     assert sample.distinct().count() == n
     assert sample_rows(df, 0.01, seed=3).count() == n
     assert sample_rows(df, 1.0).count() == 100_000
+
+
+def test_sample_by_key_does_not_depend_on_the_layout(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 50 != 0, F.concat(F.lit("k"), (F.col("id") % 15_000).cast("string")))
+        .alias("unique_key"),
+        "id",
+    )
+    want = bag(sample_by_key(rows, 0.05, seed=7))
+    # Five standard deviations of 15,000 keys, some of them twice.
+    assert abs(len(want) - 1000) < 5 * (1.7 * 20_000 * 0.05 * 0.95) ** 0.5
+    for layout in (rows.repartition(13), rows.repartition(5, "id"), rows.coalesce(1).orderBy("id")):
+        assert bag(sample_by_key(layout, 0.05, seed=7)) == want
+    keys = {k for k, _ in want}
+    assert set(want) == {r for r in bag(rows) if r[0] in keys}
+    assert bag(sample_by_key(rows, 0.05, seed=8)) != want
+    assert set(want) <= set(bag(sample_by_key(rows, 0.2, seed=7)))
+    assert sample_by_key(rows, 0).isEmpty() and bag(sample_by_key(rows, 1)) == bag(rows)
+    with pytest.raises(ValueError):
+        sample_by_key(rows, 1.5)
+
+
+def test_sample_by_several_columns_tells_them_apart(spark):
+    rows = spark.createDataFrame([("a|1", "b"), ("a", "1|b"), (None, "null"), ("null", None)], "x string, y string")
+    taken = [
+        {tuple(r) for r in sample_by_key(rows, 0.5, seed, ["x", "y"]).collect()}
+        for seed in range(20)
+    ]
+    patterns = {tuple(row in sample for sample in taken) for row in bag(rows)}
+    assert len(patterns) == 4
+
+
+def test_any_survivor_is_a_whole_valid_row(spark, make_trips):
+    rows = [
+        {"unique_key": k, "trip_seconds": s, "trip_miles": float(s), "tips": float(s) or None}
+        for k in ("a", "b", None) for s in (0, 5, 6, 7)
+    ]
+    trips = make_trips(*rows)
+    for n in (1, 5):
+        staged = stage_trips(trips.repartition(n), survivor="any").collect()
+        assert sorted(str(r.id_przejazdu) for r in staged) == ["None", "a", "b"]
+        assert all(r.czas_przejazdu > 0 for r in staged)
+        assert all(r.dystans == r.czas_przejazdu == r.napiwek for r in staged)
+
+
+def test_staging_is_made_of_the_operators(spark, make_trips):
+    """What the operators do step by step is what staging does."""
+    trips = trips_view(spark, SF_DIR)
+    by_hand = first_per_key(valid_trips(trips))
+    start = "trip_start_timestamp"
+    by_hand = by_hand.select(
+        "unique_key",
+        calendar.year(by_hand, start), calendar.month(by_hand, start), calendar.hour(by_hand, start),
+        speed_mph("trip_miles", "trip_seconds"), tip_percent("tips", "trip_total"),
+    )
+    columns = ["id_przejazdu", "rok", "miesiac", "godzina", "predkosc", "procent_napiwku"]
+    assert bag(stage_trips(trips), *columns) == bag(by_hand)

@@ -15,27 +15,33 @@ def is_zoned(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.TimestampType)
 
 
-def utc_date(df: DataFrame, column: str) -> Column:
-    if is_zoned(df, column):
-        days = F.floor(F.unix_seconds(F.col(column)) / _SECONDS_PER_DAY)
-        return F.date_from_unix_date(days.cast("int"))
-    return F.to_date(F.col(column))
+def calendar_sql(column: str, zoned: bool) -> dict[str, str]:
+    """SQL for ``year``, ``month`` and ``hour``, the text that staging uses too.
+
+    A zoned timestamp is an instant, so its UTC day and hour are plain arithmetic.
+    """
+    day, hour = column, f"hour({column})"
+    if zoned:
+        seconds = f"unix_seconds({column})"
+        day = f"date_from_unix_date(cast(floor({seconds} / {_SECONDS_PER_DAY}) AS int))"
+        hour = f"cast(floor(pmod({seconds}, {_SECONDS_PER_DAY}) / 3600) AS int)"
+    return {"year": f"year({day})", "month": f"month({day})", "hour": hour}
+
+
+def _part(df: DataFrame, column: str, part: str) -> Column:
+    return F.expr(calendar_sql(column, is_zoned(df, column))[part])
 
 
 def year(df: DataFrame, column: str) -> Column:
-    return F.year(utc_date(df, column))
+    return _part(df, column, "year")
 
 
 def month(df: DataFrame, column: str) -> Column:
-    return F.month(utc_date(df, column))
+    return _part(df, column, "month")
 
 
 def hour(df: DataFrame, column: str) -> Column:
-    # A zoned timestamp is an instant, so its UTC hour is plain arithmetic.
-    if is_zoned(df, column):
-        in_day = F.pmod(F.unix_seconds(F.col(column)), F.lit(_SECONDS_PER_DAY))
-        return F.floor(in_day / 3600).cast("int")
-    return F.hour(F.col(column))
+    return _part(df, column, "hour")
 
 
 def utc_literal(df: DataFrame, column: str, moment: datetime) -> Column:

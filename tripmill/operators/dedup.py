@@ -1,12 +1,10 @@
-"""One row per key."""
+"""One row per key, as SQL text that staging uses and as frames made of it."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 
 from tripmill.schema import TRIP_COLUMNS
 
@@ -18,26 +16,38 @@ SURVIVOR_ORDER = tuple(
 )
 
 
-def first_per_key(
-    df: DataFrame,
-    key: str = "unique_key",
-    order: Sequence[str] = SURVIVOR_ORDER,
-) -> DataFrame:
+def first_sql(
+    source: str, key: str = "unique_key", order: Sequence[str] = SURVIVOR_ORDER, where: str = "true"
+) -> str:
     """The first row of each key in ascending ``order``, nulls first.
 
     Rows with a null key form one group. Every map task cuts its own rows to one
     per key before the shuffle, so a key that holds a large part of the table
     reaches its reducer as one row per task.
     """
-    window = W.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    rank = "_row_number"
-    return (
-        df.withColumn(rank, F.row_number().over(window))
-        .filter(F.col(rank) == 1)
-        .drop(rank)
-    )
+    by = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
+    return f"""
+        SELECT * EXCEPT (_row_number) FROM (
+            SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {by}) AS _row_number
+            FROM {source}
+            WHERE {where}
+        )
+        WHERE _row_number = 1"""
+
+
+def any_sql(source: str, key: str = "unique_key", where: str = "true") -> str:
+    """One whole row of each key, no matter which.
+
+    Nothing is sorted by other columns; each map task again sends one row of a key at most.
+    """
+    return first_sql(source, key, [key], where)
+
+
+def first_per_key(
+    df: DataFrame, key: str = "unique_key", order: Sequence[str] = SURVIVOR_ORDER
+) -> DataFrame:
+    return df.sparkSession.sql(first_sql("{rows}", key, order), rows=df)
 
 
 def any_per_key(df: DataFrame, key: str = "unique_key") -> DataFrame:
-    """One row of each key, no matter which; also combined before the shuffle."""
-    return df.dropDuplicates([key])
+    return df.sparkSession.sql(any_sql("{rows}", key), rows=df)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -34,20 +35,51 @@ def in_window(
     return df
 
 
-def valid_trips(df: DataFrame) -> DataFrame:
-    """Trips that moved, took time and have both community areas.
+#: Trips that moved, took time and have both community areas. Spark counts NaN as
+#: greater than any number, but NaN miles are no distance.
+VALID_TRIP = (
+    "trip_seconds > 0 AND trip_miles > 0 AND NOT isnan(trip_miles)"
+    " AND pickup_community_area IS NOT NULL AND dropoff_community_area IS NOT NULL"
+)
 
-    Spark counts NaN as greater than any number, but NaN miles are no distance.
-    """
-    return df.filter(
-        (F.col("trip_seconds") > 0)
-        & (F.col("trip_miles") > 0)
-        & ~F.isnan("trip_miles")
-        & F.col("pickup_community_area").isNotNull()
-        & F.col("dropoff_community_area").isNotNull()
-    )
+
+def valid_trips(df: DataFrame) -> DataFrame:
+    """The rows that ``VALID_TRIP`` describes, which staging keeps."""
+    return df.filter(VALID_TRIP)
 
 
 def sample_rows(df: DataFrame, fraction: float = 0.01, seed: int | None = None) -> DataFrame:
-    """Each row independently with probability ``fraction``."""
+    """Each row independently with probability ``fraction``.
+
+    Which rows those are depends on how the table is partitioned; see ``sample_by_key``.
+    """
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+#: Hexadecimal digits of a key's digest that are compared; 60 bits.
+_DIGITS = 15
+
+
+def sample_by_key(
+    df: DataFrame, fraction: float = 0.01, seed: int = 0, key: Sequence[str] = ("unique_key",)
+) -> DataFrame:
+    """The rows whose key falls into the sampled ``fraction`` of all keys.
+
+    A key is in if the digest of seed and key, as a number between 0 and 1, is below
+    ``fraction``. That is a property of the row alone: any partitioning, file layout or engine
+    gives the same rows, a larger fraction with one seed holds a smaller one, and tables that
+    are sampled by the same key still join. Rows of one key are in or out
+    together; a null in the key counts as a value of its own. One scan, no shuffle.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction must be between 0 and 1, not {fraction}")
+    if fraction == 1:
+        return df
+    # Each part carries its length, so that no two keys have one text.
+    parts = [F.lit(str(seed))]
+    for column in key:
+        text = F.col(column).cast("string")
+        sized = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.coalesce(sized, F.lit("null")))
+    mark = F.substring(F.md5(F.concat_ws("|", *parts)), 1, _DIGITS)
+    return df.filter(mark < f"{int(fraction * 16**_DIGITS):0{_DIGITS}x}")

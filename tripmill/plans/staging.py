@@ -1,18 +1,20 @@
 """From raw trips to the 14 staged columns.
 
-Staging is one SQL text: a catalog view keeps its text and no DataFrame, and a
-DataFrame can be made from the same text.
+Staging is one SQL text, put together from those of the operators: a catalog view keeps
+its text and no DataFrame, and a DataFrame can be made from the same text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tripmill.functions.calendar import is_zoned
-from tripmill.operators.dedup import SURVIVOR_ORDER
+from tripmill.functions.calendar import calendar_sql, is_zoned
+from tripmill.functions.measures import NULL_TIP_RULES, speed_sql, tip_sql
+from tripmill.operators.dedup import any_sql, first_sql
+from tripmill.operators.selection import VALID_TRIP
 from tripmill.schema import STAGED_NAMES, TRIP_COLUMNS, TRIP_SCHEMA, check
 
-NULL_TIPS = ("zero", "ignore")
+NULL_TIPS = NULL_TIP_RULES
 SURVIVORS = ("first", "any")
 
 
@@ -32,31 +34,18 @@ def staging_sql(
         raise ValueError(f"null_tip must be one of {NULL_TIPS}, not {null_tip!r}")
     if survivor not in SURVIVORS:
         raise ValueError(f"survivor must be one of {SURVIVORS}, not {survivor!r}")
-    start = "trip_start_timestamp"
-    day, hour = start, f"hour({start})"
-    if zoned:
-        day = f"date_from_unix_date(cast(floor(unix_seconds({start}) / 86400) AS int))"
-        hour = f"cast(floor(pmod(unix_seconds({start}), 86400) / 3600) AS int)"
+    parts = calendar_sql("trip_start_timestamp", zoned)
     shown = {"tips": "coalesce(tips, 0.0D)"} if null_tip == "ignore" else {}
     names = ", ".join(f"{shown.get(raw, raw)} AS {staged}" for raw, staged in STAGED_NAMES.items())
-    tip = "tips" if null_tip == "ignore" else "coalesce(tips, 0)"
-    columns = SURVIVOR_ORDER if survivor == "first" else ("unique_key",)
-    order = ", ".join(f"{c} ASC NULLS FIRST" for c in columns)
+    one_per_key = first_sql if survivor == "first" else any_sql
     return f"""
         SELECT {names},
-               year({day}) AS rok,
-               month({day}) AS miesiac,
-               {hour} AS godzina,
-               trip_miles / nullif(trip_seconds / 3600, 0) AS predkosc,
-               CASE WHEN trip_total > 0 THEN {tip} / trip_total * 100
-                    ELSE 0 END AS procent_napiwku
-        FROM (
-            SELECT *, row_number() OVER (PARTITION BY unique_key ORDER BY {order}) AS row_nr
-            FROM {source}
-            WHERE trip_seconds > 0 AND trip_miles > 0 AND NOT isnan(trip_miles)
-              AND pickup_community_area IS NOT NULL AND dropoff_community_area IS NOT NULL
-        )
-        WHERE row_nr = 1"""
+               {parts["year"]} AS rok,
+               {parts["month"]} AS miesiac,
+               {parts["hour"]} AS godzina,
+               {speed_sql("trip_miles", "trip_seconds")} AS predkosc,
+               {tip_sql("tips", "trip_total", null_tip)} AS procent_napiwku
+        FROM ({one_per_key(source, where=VALID_TRIP)})"""
 
 
 def stage_trips(trips: DataFrame, null_tip: str = "zero", survivor: str = "first") -> DataFrame:
