@@ -118,6 +118,25 @@ def test_profile_works_on_the_written_values(raw):
         assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_the_summary_reads_the_values_four_times(raw):
+    values = profile.value_table(raw)
+    for frame in (profile.describe(values), profile.trimmed_rows(raw, values)):
+        scans = re.findall(r"Scan parquet(?:.|\n)*?ReadSchema: (.*)", plan(frame))
+        assert sum("kolumna" in schema for schema in scans) == 4
+
+
+def test_rules_reach_the_scan_through_staging(raw):
+    for frame in (stage_trips(raw), stage_trips(raw, survivor="any")):
+        found = pushed(plan(frame))
+        for want in (
+            "GreaterThan(trip_seconds,0)", "GreaterThan(trip_miles,0.0)",
+            "IsNotNull(pickup_community_area)", "IsNotNull(dropoff_community_area)",
+        ):
+            assert want in found
+    found = pushed(plan(stage_trips(in_window(raw, SCENARIOS["small"]))))
+    assert "GreaterThanOrEqual(trip_start_timestamp,2022-01-01" in found
+
+
 def test_no_python_in_any_plan(spark, raw):
     zones = chicago_zones(spark)
     staged, values = stage_trips(raw), profile.value_table(raw)

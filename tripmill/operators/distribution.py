@@ -85,38 +85,9 @@ def _holds(k: Column) -> Column:
     return (F.col("przed") <= k) & (k < F.col("do_tad"))
 
 
-def _bin_sums() -> list[Column]:
-    return [
-        F.sum("liczba").alias("liczba"),
-        F.min("wartosc").alias("od"),
-        F.max("wartosc").alias("do"),
-    ]
-
-
-def _keep(bins: DataFrame, within: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """The bins that hold a wanted rank, cut to their values: ``kolumna, n, lo,
-    hi, przed, do_tad``, the last two being the values below and up to here.
-
-    One task ranks the bins of a column (or of a range), whose number the format
-    of doubles bounds: 2 * 2098 * 1024 + 1 (4.3 million) bins by magnitude, fewer
-    the narrower the values' range; 4096 in the next steps; 370,000 in the last.
-    """
-    running = W.partitionBy(*within).orderBy("kosz").rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    wanted = [_holds(f(_rank(p))) for p in probabilities for f in (F.floor, F.ceil)]
-    return (
-        bins.withColumn("do_tad", F.col("przed") + F.sum("liczba").over(running))
-        .select(
-            "kolumna",
-            "n",
-            F.col("od").alias("lo"),
-            F.col("do").alias("hi"),
-            (F.col("do_tad") - F.col("liczba")).alias("przed"),
-            "do_tad",
-        )
-        .filter(reduce(or_, wanted))
-    )
+def _wanted(probabilities: Sequence[float]) -> Column:
+    """Whether a bin holds a rank that some percentile needs."""
+    return reduce(or_, [_holds(f(_rank(p))) for p in probabilities for f in (F.floor, F.ceil)])
 
 
 def _magnitude() -> Column:
@@ -131,64 +102,170 @@ def _magnitude() -> Column:
     )
 
 
-def _narrow(
-    counts: DataFrame, ranges: DataFrame, bin_of: Column, probabilities: Sequence[float]
+def _whole(value: Column) -> Column:
+    """An aggregate over all rows of a column."""
+    return value.over(W.partitionBy("kolumna"))
+
+
+def _up_to_here(*within: str) -> Column:
+    """How many values the bins of a column or range hold, up to this one."""
+    ordered = W.partitionBy("kolumna", *within).orderBy("kosz")
+    return F.sum("liczba").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+
+
+def _ranges(bins: DataFrame, carried: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """One row per column: the bins with a wanted rank, cut to their values, as ``zakresy``.
+
+    A column has at least one such bin and at most two per percentile.
+    """
+    one = F.struct("od", "do", "przed")
+    return (
+        bins.filter(_wanted(probabilities))
+        .groupBy("kolumna", *carried)
+        .agg(F.sort_array(F.collect_list(one)).alias("zakresy"))
+    )
+
+
+def _first_step(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Bins by magnitude, whose sums also give ``n, lo, hi, srednia`` of each column."""
+    bins = counts.groupBy("kolumna", _magnitude().alias("kosz")).agg(
+        F.sum("liczba").alias("liczba"),
+        F.sum(F.col("wartosc") * F.col("liczba")).alias("suma"),
+        F.min("wartosc").alias("od"),
+        F.max("wartosc").alias("do"),
+    )
+    whole = {
+        "n": _whole(F.sum("liczba")),
+        "lo": _whole(F.min("od")),
+        "hi": _whole(F.max("do")),
+        "suma_kolumny": _whole(F.sum("suma")),
+        "do_tad": _up_to_here(),
+    }
+    placed = bins.withColumns(whole).withColumns({
+        "przed": F.col("do_tad") - F.col("liczba"),
+        "srednia": F.col("suma_kolumny") / F.col("n"),
+    })
+    return _ranges(placed, ["n", "lo", "hi", "srednia"], probabilities)
+
+
+def _next_step(
+    counts: DataFrame,
+    ranges: DataFrame,
+    bin_of: Column,
+    carried: Sequence[str],
+    probabilities: Sequence[float],
+    squares: bool = False,
 ) -> DataFrame:
-    """Cut each range into bins and keep those with a wanted rank.
+    """Read the values again and cut each range of ``ranges`` into bins.
 
-    The ranges of a column do not overlap, and there are at most two per
-    percentile, which bounds the broadcast.
+    ``ranges`` has one row per column, which bounds the broadcast; of its ranges, at most two
+    per percentile, a value can lie in one. With ``squares``, all values add to their column's
+    ``kwadraty``, the squared distances from its mean; else those outside drop out.
+    Result: bins with ``przed`` and ``do_tad``, the number of values below and up to here.
     """
-    ranges = ranges.select(F.col("kolumna").alias("_kolumna"), "n", "lo", "hi", "przed")
-    bins = (
-        counts.join(
-            F.broadcast(ranges),
-            (F.col("kolumna") == F.col("_kolumna"))
-            & F.col("wartosc").between(F.col("lo"), F.col("hi")),
-        )
-        .groupBy("kolumna", "n", "lo", "przed", bin_of.alias("kosz"))
-        .agg(*_bin_sums())
+    most = 2 * len(probabilities)
+    found = [F.get("zakresy", F.lit(i)) for i in range(most)]
+    of_value = F.coalesce(*[
+        F.when(F.col("wartosc").between(z["od"], z["do"]), z) for z in found
+    ])
+    rows = counts.join(F.broadcast(ranges), "kolumna").withColumn("zakres", of_value)
+    if not squares:
+        rows = rows.filter(F.col("zakres").isNotNull())
+    sums = {
+        "liczba": F.sum("liczba"),
+        "od": F.min("wartosc"),
+        "do": F.max("wartosc"),
+    }
+    if squares:
+        # The mean is taken off each value first, as sums of plain squares lose digits.
+        distance = F.pow(F.col("wartosc") - F.col("srednia"), 2) * F.col("liczba")
+        sums["kwadraty"] = F.sum(distance)
+    bins = rows.groupBy(
+        "kolumna",
+        *carried,
+        F.col("zakres.od").alias("zakres_od"),
+        F.col("zakres.przed").alias("zakres_przed"),
+        F.when(F.col("zakres").isNotNull(), bin_of).alias("kosz"),
+    ).agg(*[value.alias(name) for name, value in sums.items()])
+    if squares:
+        bins = bins.withColumn("kwadraty", _whole(F.sum("kwadraty")))
+    return (
+        bins.filter(F.col("zakres_od").isNotNull())
+        .withColumn("do_tad", F.col("zakres_przed") + _up_to_here("zakres_od"))
+        .withColumn("przed", F.col("do_tad") - F.col("liczba"))
     )
-    return _keep(bins, ["kolumna", "lo"], probabilities)
 
 
-def quantiles(
+def ladder(
     counts: DataFrame,
     probabilities: Sequence[float],
     bins: int = NARROW_BINS,
     steps: int = NARROW_STEPS,
 ) -> DataFrame:
-    """``kolumna, p, kwantyl``: exact percentiles with linear interpolation.
+    """One row per column: ``kolumna, n, lo, hi, srednia, odchylenie, kwantyle``.
 
-    Each step counts values per bin and keeps only the bins around the wanted
-    ranks, cut to their smallest and largest value; the last step ranks the
-    single values left over.
+    ``odchylenie`` is the sample standard deviation (null for a single value) and ``kwantyle``
+    holds ``p, kwantyl``: exact percentiles with linear interpolation.
+
+    The values are read once for each step. The first counts them by magnitude and gives the
+    moments that need no mean; each further one keeps only the bins around the wanted ranks, cut to
+    their smallest and largest value, and the second also adds up squared distances
+    from the mean; the last ranks the single values left over. With the default two
+    narrowing steps these are four reads.
+
+    One task ranks the bins of a column (or of a range), whose number the format
+    of doubles bounds: 2 * 2098 * 1024 + 1 (4.3 million) bins by magnitude, fewer
+    the narrower the values' range; 4096 in the next steps; 370,000 in the last.
     """
-    ranges = _keep(
-        counts.groupBy("kolumna", _magnitude().alias("kosz"))
-        .agg(*_bin_sums())
-        .withColumn("n", F.sum("liczba").over(W.partitionBy("kolumna")))
-        .withColumn("przed", F.lit(0).cast("bigint")),
-        ["kolumna"],
-        probabilities,
-    )
-    width = F.col("hi") - F.col("lo")
-    share = F.when(width > 0, (F.col("wartosc") - F.col("lo")) / width).otherwise(F.lit(0.0))
+    carried = ["n", "lo", "hi", "srednia"]
+    ranges = _first_step(counts, probabilities)
+    z = F.col("zakres")
+    width = z["do"] - z["od"]
+    share = F.when(width > 0, (F.col("wartosc") - z["od"]) / width).otherwise(F.lit(0.0))
     bin_of = F.least(F.floor(share * bins), F.lit(bins - 1).cast("bigint"))
-    for _ in range(steps):
-        ranges = _narrow(counts, ranges, bin_of, probabilities)
-    found = _narrow(counts, ranges, F.col("wartosc"), probabilities)
-    places = [F.struct(F.lit(p).alias("p"), _rank(p).alias("miejsce")) for p in probabilities]
-    at = F.col("miejsce")
-    return (
-        found.select("*", F.inline(F.array(*places)))
-        .filter(_holds(F.floor(at)) | _holds(F.ceil(at)))
-        .groupBy("kolumna", "p", "miejsce")
-        .agg(F.min("lo").alias("lo"), F.max("lo").alias("hi"))
-        .select(
-            "kolumna", "p", (F.col("lo") + width * (at - F.floor(at))).alias("kwantyl")
+    for step in range(steps):
+        narrow = _next_step(counts, ranges, bin_of, carried, probabilities, squares=step == 0)
+        carried = ["n", "lo", "hi", "srednia", "kwadraty"]
+        ranges = _ranges(narrow, carried, probabilities)
+    single = _next_step(
+        counts, ranges, F.col("wartosc"), carried, probabilities, squares=steps == 0
+    )
+    carried = ["n", "lo", "hi", "srednia", "kwadraty"]
+
+    def value_at(k: Column) -> Column:
+        return F.max(F.when(_holds(k), F.col("od")))
+
+    marks = []
+    for p in probabilities:
+        at = _rank(p)
+        low, high = value_at(F.floor(at)), value_at(F.ceil(at))
+        marks.append(
+            F.struct(
+                F.lit(p).alias("p"),
+                (low + (high - low) * (at - F.floor(at))).alias("kwantyl"),
+            )
         )
+    # The mean of equal values may be a rounding error away from them.
+    spread = F.when(F.col("lo") == F.col("hi"), F.lit(0.0)).otherwise(
+        F.sqrt(F.col("kwadraty") / (F.col("n") - 1))
     )
+    return (
+        single.filter(_wanted(probabilities))
+        .groupBy("kolumna", *carried)
+        .agg(F.array(*marks).alias("kwantyle"))
+        .withColumn("odchylenie", F.when(F.col("n") > 1, spread))
+        .select("kolumna", "n", "lo", "hi", "srednia", "odchylenie", "kwantyle")
+    )
+
+
+def quantiles(
+    counts: DataFrame,
+    probabilities: Sequence[float],
+    bins: int = NARROW_BINS,
+    steps: int = NARROW_STEPS,
+) -> DataFrame:
+    """``kolumna, p, kwantyl``: exact percentiles with linear interpolation; see ``ladder``."""
+    return ladder(counts, probabilities, bins, steps).select("kolumna", F.inline("kwantyle"))
 
 
 def upper_limits(counts: DataFrame, probability: float = 0.99) -> DataFrame:

@@ -64,28 +64,23 @@ def value_table(
 def describe(values: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     """One row per column: ``count, mean, std, min, 1%, 50%, 99%, max``.
 
-    Missing values do not count; a column without values has count 0 and nulls.
+    Missing values do not count; a column without values has count 0 and nulls. All
+    statistics come from one ladder, which reads the value table four times.
     """
-    moments = dist.deviations(values, dist.totals(values))
-    marks = (
-        dist.quantiles(values, list(PERCENTILES))
-        .groupBy("kolumna")
-        .agg(*[
-            F.max(F.when(F.col("p") == p, F.col("kwantyl"))).alias(name)
-            for p, name in PERCENTILES.items()
-        ])
-    )
+    found = dist.ladder(values, list(PERCENTILES))
+    marks = {
+        name: F.get("kwantyle", F.lit(i))["kwantyl"].alias(name)
+        for i, name in enumerate(PERCENTILES.values())
+    }
     names = values.sparkSession.createDataFrame([(c,) for c in columns], "kolumna string")
-    # One row per column on every side.
-    for side in (moments, marks):
-        names = names.join(F.broadcast(side), "kolumna", "left")
-    return names.select(
+    # One row per column on both sides.
+    return names.join(F.broadcast(found), "kolumna", "left").select(
         "kolumna",
         F.coalesce("n", F.lit(0)).cast("bigint").alias("count"),
         F.col("srednia").alias("mean"),
         F.col("odchylenie").alias("std"),
         F.col("lo").alias("min"),
-        *[F.col(f"`{name}`") for name in PERCENTILES.values()],
+        *marks.values(),
         F.col("hi").alias("max"),
     )
 
