@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument("--root", required=True, help="shared folder of the run")
         if zones:
             command.add_argument("--zones", help="CSV seed; the packaged list if left out")
+        command.add_argument("--run-id", help="leave out what the run of this id has done")
         return command
 
     def rules(command: argparse.ArgumentParser, null_tip: str) -> None:
@@ -46,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     extract = step("extract", "cut the trips to the window, as Parquet", source=True, root=True)
     connector(extract, "reads --table")
     extract.add_argument("--year-partition", help="column of years that folders are split by")
+    extract.add_argument("--clustered", action="store_true", help="order the trips by start time")
     extract.add_argument("--narrow", action="store_true", help="only the columns the marts need")
     rules(
         step("transform", "build the marts from the extract, as Parquet", root=True, zones=True),
@@ -56,6 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     connector(load, "writes the marts")
     elt = step("elt", "raw table, staging view and mart tables", source=True, zones=True)
     elt.add_argument("--location", help="folder for schemas that do not exist yet")
+    elt.add_argument("--journal", help="shared folder for the records of a run with an id")
     elt.add_argument("--year-partition", help="column of years that folders are split by")
     connector(elt, "writes the marts")
     rules(elt, "zero")
@@ -93,17 +96,21 @@ def main(argv: Sequence[str] | None = None) -> None:
             trips(),
             scenario,
             args.root,
+            run_id=args.run_id,
             all_columns=not args.narrow,
             year_partition=args.year_partition,
+            clustered=args.clustered,
         )
     elif args.step == "transform":
         raw = runs.raw_path(args.root, args.size)
-        runs.transform(spark, raw, zones(), args.size, args.root, args.null_tip, args.survivor)
+        runs.transform(
+            spark, raw, zones(), args.size, args.root, args.null_tip, args.survivor, args.run_id
+        )
     elif args.step == "load":
         if not args.format:
             ensure_schema(spark, args.schema)
         paths = runs.mart_paths(args.root, args.size)
-        runs.load(spark, paths, args.size, args.schema, sink())
+        runs.load(spark, paths, args.size, args.schema, sink(), args.root, args.run_id)
     else:
         runs.run_elt(
             spark,
@@ -114,5 +121,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             sink=sink(),
             null_tip=args.null_tip,
             survivor=args.survivor,
+            journal=args.journal,
+            run_id=args.run_id,
             year_partition=args.year_partition,
         )

@@ -1,17 +1,20 @@
-"""Parquet folders and catalog tables that each run replaces."""
+"""Where results go: catalog tables, connectors, and the publishing of several targets."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.functions.calendar import is_zoned
 from tripmill.plans.staging import staging_sql
 from tripmill.scenario import DEFAULT_SIZE, sized_name
+from tripmill.sinks.versions import quoted, remove_folder, replace_table, set_view, write_parquet
 
-Sink = Callable[[DataFrame, str], None]
+#: Writes a frame to the target of a name; may return the version it has made.
+Sink = Callable[[DataFrame, str], str | None]
 
 
 class PublishError(RuntimeError):
@@ -23,85 +26,10 @@ class PublishError(RuntimeError):
         super().__init__(f"{len(lines)} target(s) failed\n" + "\n".join(lines))
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The file system of a folder, and a function that makes its paths."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, hadoop.Path
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    files, at = _file_system(spark, path)
-    files.delete(at(path), True)
-
-
-def _move(spark: SparkSession, old: str, new: str) -> None:
-    files, at = _file_system(spark, old)
-    if not files.rename(at(old), at(new)):
-        raise OSError(f"cannot rename {old} to {new}")
-
-
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace the folder ``path``; it changes only after all rows are written.
-
-    The rows go to a folder beside it, which then takes its name. If that fails
-    half way, the old folder is put back.
-    """
-    spark, path = df.sparkSession, path.rstrip("/")
-    mark = uuid.uuid4().hex
-    fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
-    files, at = _file_system(spark, path)
-    try:
-        df.write.parquet(fresh)
-        replaced = files.exists(at(path))
-        if replaced:
-            _move(spark, path, old)
-        try:
-            _move(spark, fresh, path)
-        except Exception:
-            if replaced:
-                _move(spark, old, path)
-            raise
-        if replaced:
-            remove_folder(spark, old)
-    finally:
-        remove_folder(spark, fresh)
-
-
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the schema if it is absent, below ``location`` when given."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
-
-
-def replace_table(df: DataFrame, name: str) -> None:
-    """Create table ``name`` from ``df``, replacing an older one.
-
-    The old table stays as it is until all rows are written. A catalog of its own
-    (a name of three parts) replaces the table itself; the session catalog, which
-    would drop it first, gets a table beside it that then takes its name.
-    """
-    spark = df.sparkSession
-    if name.count(".") == 2:
-        df.writeTo(name).createOrReplace()
-        return
-    mark = uuid.uuid4().hex
-    fresh, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
-    try:
-        df.write.saveAsTable(fresh)
-        replaced = spark.catalog.tableExists(name)
-        if replaced:
-            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-        try:
-            spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-        except Exception:
-            if replaced:
-                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
-            raise
-        if replaced:
-            spark.sql(f"DROP TABLE {old}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    where = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name)}{where}")
 
 
 def format_sink(fmt: str, name_option: str = "table", **options: str) -> Sink:
@@ -123,7 +51,34 @@ def replace_staging_view(
     """A catalog view over ``raw_table``; its rows are worked out on each read."""
     zoned = is_zoned(spark.table(raw_table), "trip_start_timestamp")
     text = staging_sql(raw_table, zoned, null_tip, survivor)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {text}")
+    set_view(spark, view, text)
+
+
+def side_by_side(
+    spark: SparkSession, jobs: Mapping[str, Callable[[], object]], threads: int
+) -> dict[str, object]:
+    """Run jobs, up to ``threads`` at a time, and return each one's result or its error.
+
+    Each job is in a scheduler pool of its own name, so that with
+    ``spark.scheduler.mode=FAIR`` a long one does not hold up the others. Only an
+    ``Exception`` is an answer; anything else (an interrupt) ends the call.
+    """
+
+    def run(name: str) -> object:
+        if threads > 1:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return jobs[name]()
+        except Exception as error:
+            return error
+
+    if threads <= 1:
+        return {name: run(name) for name in jobs}
+    with ThreadPoolExecutor(threads) as pool:
+        started = {
+            name: pool.submit(inheritable_thread_target(spark)(run), name) for name in jobs
+        }
+        return {name: job.result() for name, job in started.items()}
 
 
 def publish(
@@ -131,21 +86,39 @@ def publish(
     schema: str | None = None,
     size: str = DEFAULT_SIZE,
     sink: Sink = replace_table,
+    spark: SparkSession | None = None,
+    threads: int = 1,
 ) -> dict[str, str]:
     """Write each frame to ``schema.name_size`` and return the target names.
 
     A frame may be given as a function, so that an unreadable source fails only
     its own target. One failure does not stop the others, but it is raised in
-    the end: a partial publish never looks like a whole one.
+    the end: a partial publish never looks like a whole one. With ``threads``, so many
+    targets are written at a time.
     """
-    targets, failures = {}, {}
-    for name, frame in frames.items():
-        target = sized_name(name, size, schema)
-        try:
-            sink(frame() if callable(frame) else frame, target)
-            targets[name] = target
-        except Exception as error:
-            failures[target] = error
+    targets = {name: sized_name(name, size, schema) for name in frames}
+
+    def job(name: str) -> Callable[[], object]:
+        def write() -> object:
+            frame = frames[name]
+            return sink(frame() if callable(frame) else frame, targets[name])
+
+        return write
+
+    spark = spark or SparkSession.active()
+    done = side_by_side(spark, {name: job(name) for name in frames}, threads)
+    raise_failures({targets[name]: result for name, result in done.items()})
+    return targets
+
+
+def raise_failures(results: Mapping[str, object]) -> None:
+    """Raise one error for all results that are errors."""
+    failures = {name: x for name, x in results.items() if isinstance(x, Exception)}
     if failures:
         raise PublishError(failures) from next(iter(failures.values()))
-    return targets
+
+
+__all__ = [
+    "PublishError", "Sink", "ensure_schema", "format_sink", "publish", "raise_failures",
+    "remove_folder", "replace_staging_view", "replace_table", "side_by_side", "write_parquet",
+]

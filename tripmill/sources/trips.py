@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.schema import TRIP_SCHEMA, check
+from tripmill.sinks.versions import read_folder
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Trips from Parquet files; ``path`` may be a folder or a glob."""
-    return check(spark.read.parquet(path), TRIP_SCHEMA)
+    """Trips from Parquet files; ``path`` may be a folder, one with versions, or a glob."""
+    return check(read_folder(spark, path), TRIP_SCHEMA)
 
 
 def trips_table(spark: SparkSession, name: str) -> DataFrame:
