@@ -178,6 +178,9 @@ ORACLE: dict[str, str] = {
         FROM orders LEFT JOIN zones ON o_orderkey % 78 + 1 = id_dzielnicy
         GROUP BY 1, 2""",
     ),
+    "connector_mart_finanse": _with(_TRIPS, _staged(*_IGNORED, window=_SMALL), _FINANCE),
+    "window_of_clustered": _with(_TRIPS, f"SELECT * FROM trips WHERE {_SMALL}"),
+    "resumed_mart_trasy": _with(_TRIPS, _ZONES, _staged(window=_SMALL), _ROUTES),
     "zone_dim": _with(_ZONES, "SELECT * FROM zones"),
     "publish_marts": _with(
         _TRIPS,
@@ -209,6 +212,17 @@ ORACLE: dict[str, str] = {
     "dedup_any": _with(_TRIPS, "SELECT DISTINCT unique_key, TRUE AS z_wejscia FROM trips"),
     "stage_trips": _with(_TRIPS, _staged(), "SELECT * FROM staged"),
     "stage_trips_null_tip_ignored": _with(_TRIPS, _staged(*_IGNORED), "SELECT * FROM staged"),
+    "stage_trips_any": _with(
+        _TRIPS,
+        f"SELECT DISTINCT unique_key AS id_przejazdu, TRUE AS z_wejscia FROM trips WHERE {_VALID}",
+    ),
+    "sample_trips": _with(
+        _TRIPS,
+        # One percent of 16^15, as 15 hexadecimal digits.
+        f"""SELECT trip_seconds, trip_miles, trip_total FROM trips
+        WHERE substr(md5('7|' || length(unique_key) || ':' || unique_key), 1, 15)
+              < '{int(0.01 * 16**15):015x}'""",
+    ),
     "zone_join_left": _with(
         _TRIPS,
         _ZONES,

@@ -15,19 +15,20 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import warehouse
 from checks.trips_view import SCENARIOS, trips, zones
 from tripmill.functions import calendar
 from tripmill.functions.measures import speed_mph, tip_percent
 from tripmill.operators.dedup import any_per_key, first_per_key
-from tripmill.operators.selection import in_window, sample_rows, valid_trips
+from tripmill.operators.selection import in_window, sample_by_key, sample_rows, valid_trips
 from tripmill.operators.zone_join import with_pickup_zone, with_zone_pair
 from tripmill.plans import marts, profile, runs
 from tripmill.plans.staging import stage_trips
 from tripmill.scenario import Scenario, sized_name
-from tripmill.schema import AUDITED, MARTS, MEASURES
+from tripmill.schema import AUDITED, MARTS, MEASURES, STAGED_NAMES
 from tripmill.scratch import materialise, scratch_dir
-from tripmill.sinks.tables import ensure_schema, replace_staging_view
-from tripmill.sources.trips import read_trips, trips_table
+from tripmill.sinks.tables import ensure_schema, format_sink, replace_staging_view
+from tripmill.sources.trips import load_trips, read_trips, trips_table
 from tripmill.sources.zones import chicago_zones, read_zones
 
 SMALL = SCENARIOS["small"]
@@ -134,6 +135,38 @@ def raw_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_table(spark, runs.extract_to_table(read_trips(spark, path), everything, schema))
 
 
+def connector_finance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips read from a connector, staged and summed, and the mart published through it."""
+    fmt, root = warehouse.register(spark), scratch_dir(spark)
+    sink = format_sink(fmt, root=f"{root}/warehouse")
+    sink(trips(spark, sf_dir), "raw.trips")
+    source = load_trips(spark, fmt, root=f"{root}/warehouse", table="raw.trips")
+    targets = runs.run_etl(spark, source, zones(spark, sf_dir), SMALL, root, "marts", sink)
+    options = {"root": f"{root}/warehouse", "table": targets["mart_finanse"]}
+    return _finance(spark.read.format(fmt).options(**options).load())
+
+
+def window_of_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small window, cut from an extract of all years that lies by start time."""
+    everything = Scenario("all", datetime(1900, 1, 1), datetime(2100, 1, 1))
+    path = runs.extract_to_parquet(
+        trips(spark, sf_dir), everything, scratch_dir(spark), clustered=True
+    )
+    return in_window(read_trips(spark, path), SMALL)
+
+
+def resumed_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that stops before it loads, and then goes on under its id."""
+    schema, folder = f"transformed_marts_{uuid.uuid4().hex}", scratch_dir(spark)
+    ensure_schema(spark, schema, f"{folder}/{schema}")
+    raw = runs.extract_to_parquet(trips(spark, sf_dir), SMALL, folder, "nightly")
+    runs.transform(spark, raw, zones(spark, sf_dir), SMALL.name, folder, run_id="nightly")
+    targets = runs.run_etl(
+        spark, trips(spark, sf_dir), zones(spark, sf_dir), SMALL, folder, schema, run_id="nightly"
+    )
+    return spark.table(targets["mart_trasy"])
+
+
 # Filters, projections, functions
 
 
@@ -157,19 +190,19 @@ def calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = trips(spark, sf_dir, ["unique_key", "trip_miles", "trip_seconds"])
-    return df.withColumn("predkosc", speed_mph(F.col("trip_miles"), F.col("trip_seconds")))
+    return df.withColumn("predkosc", speed_mph("trip_miles", "trip_seconds"))
 
 
 def tip_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tip, total = F.col("tips"), F.col("trip_total")
     return trips(spark, sf_dir, ["unique_key", "tips", "trip_total"]).withColumns({
-        "procent_zero": tip_percent(tip, total, "zero"),
-        "procent_ignore": tip_percent(tip, total, "ignore"),
+        "procent_zero": tip_percent("tips", "trip_total", "zero"),
+        "procent_ignore": tip_percent("tips", "trip_total", "ignore"),
     })
 
 
 def sample_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_rows(trips(spark, sf_dir, MEASURES), 0.01, seed=7)
+    columns = ["unique_key", *MEASURES]
+    return sample_by_key(trips(spark, sf_dir, columns), 0.01, seed=7).select(*MEASURES)
 
 
 def sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,6 +255,17 @@ def staged_null_tip_ignored(spark: SparkSession, sf_dir: str) -> DataFrame:
 _AREAS = ("unique_key", "pickup_community_area", "dropoff_community_area")
 
 
+def stage_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each staged key, and whether the row that survived is one of its valid rows as a whole."""
+    survivors = stage_trips(trips(spark, sf_dir), survivor="any")
+    valid = valid_trips(trips(spark, sf_dir))
+    inputs = valid.select(*[F.col(c).alias(f"we_{c}") for c in STAGED_NAMES]).distinct()
+    same = [F.col(name).eqNullSafe(F.col(f"we_{c}")) for c, name in STAGED_NAMES.items()]
+    return survivors.join(inputs, reduce(and_, same), "left").select(
+        "id_przejazdu", F.col("we_unique_key").isNotNull().alias("z_wejscia")
+    )
+
+
 def zone_join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = trips(spark, sf_dir, _AREAS[:2])
     return with_pickup_zone(df, zones(spark, sf_dir), _AREAS[1])
@@ -311,6 +355,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_table_roundtrip": raw_table_roundtrip,
     "staging_view": staging_view,
     "raw_table_whole": raw_table_whole,
+    "connector_mart_finanse": connector_finance,
+    "window_of_clustered": window_of_clustered,
+    "resumed_mart_trasy": resumed_routes,
     "zone_dim": zone_dim,
     "publish_marts": publish_marts,
     "published_dynamika_ruchu_small": published_dynamics,
@@ -329,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_any": dedup_any,
     "stage_trips": staged,
     "stage_trips_null_tip_ignored": staged_null_tip_ignored,
+    "stage_trips_any": stage_any,
     "zone_join_left": zone_join_left,
     "zone_pair_join": zone_pair_join,
     "zone_pair_join_chicago": zone_pair_join_chicago,
