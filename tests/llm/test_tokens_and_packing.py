@@ -44,8 +44,18 @@ def test_words_give_the_ids_of_whole_texts(plain):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected(plain, text), text
 
 
+def test_a_worker_keeps_one_cache(plain):
+    from tripmill.llm import frames
+
+    encoder = tokens.encoder(queries.TOKENIZER, queries.END_ID)
+    assert tokens.encoder(queries.TOKENIZER, queries.END_ID) is encoder
+    assert frames.kept_for("another", dict) == {} and list(frames._KEPT) == ["another"]
+    assert tokens.encoder(queries.TOKENIZER, queries.END_ID) is not encoder
+    assert list(frames.slices(iter([]))) == [] and not frames._KEPT
+
+
 def test_kept_words_may_run_out(plain, monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_WORDS", 5)
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 1000)
     encoder = tokens.Encoder(queries.TOKENIZER, queries.END_ID)
     text = " ".join(f"word{i % 7}, again{i % 11}" for i in range(60))
     for _ in range(2):

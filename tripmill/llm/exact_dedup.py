@@ -34,6 +34,7 @@ from tripmill.llm.frames import (
     keep,
     row_ids,
     rows_that_stay,
+    slices,
     workspace,
 )
 
@@ -60,7 +61,7 @@ def _local_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """One row for each document; the first of a text in this task carries the text."""
     seen, held = 0, 0
     entries: dict[bytes, list[tuple[int, bytes]]] = {}
-    for batch in batches:
+    for batch in slices(batches):
         uids = row_ids(seen, batch.num_rows)
         seen += batch.num_rows
         entry: list[int] = []

@@ -6,10 +6,11 @@ import posixpath
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -17,7 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.scratch import materialise, scratch_dir
+from tripmill.scratch import scratch_dir
+
+T = TypeVar("T")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +65,32 @@ def row_ids(start: int, n: int) -> pa.Array:
     return pa.array(range(base, base + n), pa.int64())
 
 
+#: What this worker process keeps, for one operator at a time.
+_KEPT: dict = {}
+
+
+def kept_for(owner: Hashable, make: Callable[[], T]) -> T:
+    """A cache or model that a worker keeps between the tasks of one operator.
+
+    Workers outlive their tasks, so what another operator has left goes first.
+    """
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` a few at a time, for work on Python objects of them.
+
+    For operators that keep nothing: what others have left in this worker goes.
+    """
+    _KEPT.clear()
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     """The strings of an Arrow column; null counts as empty."""
     return [x or "" for x in column.to_pylist()]
@@ -140,9 +169,3 @@ def rows_that_stay(docs: DataFrame, decisions: DataFrame, work: str) -> DataFram
         one = one.dropDuplicates(["doc_id", "_digest_of_row"]).select(*[F.col(f"`{c}`") for c in columns])
         left = left.join(doubled, own, "left_anti").union(one)
     return left
-
-
-__all__ = [
-    "as_text", "digest", "filesystem", "group_count", "keep", "materialise", "replacing", "row_ids",
-    "rows_that_stay",     "scratch_dir", "ship", "table", "texts_of", "workspace",
-]

@@ -158,7 +158,7 @@ def training_texts(rows: DataFrame) -> tuple[list[str], list[str]]:
 
 
 def _predictions(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [model.predict(t) for t in batch.column("text").to_pylist()]
         yield pa.record_batch({
             "doc_id": batch.column("doc_id"),

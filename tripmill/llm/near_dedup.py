@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.components import components
-from tripmill.llm.frames import as_text, digest, keep, row_ids, rows_that_stay, workspace
+from tripmill.llm.frames import as_text, digest, keep, row_ids, rows_that_stay, slices, workspace
 
 HASHES, BITS = 256, 2
 BANDS, BAND_ROWS = 32, 4
@@ -153,7 +153,7 @@ _SIGNED = "uid long, doc_id long, digest long, n int, class binary, bands array<
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     seen = 0
-    for batch in batches:
+    for batch in slices(batches):
         uids = row_ids(seen, batch.num_rows)
         seen += batch.num_rows
         n, class_, bands, sig = [], [], [], []
@@ -181,7 +181,7 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [shingles(t, size).tobytes() for t in batch.column("text").to_pylist()]
         class_ = [xxhash.xxh3_128_digest(x) for x in found]
         yield pa.record_batch({
@@ -213,7 +213,7 @@ def linked(a: bytes, b: bytes, threshold: int) -> bool:
 
 def _confirm(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     """The pairs that are linked."""
-    for batch in batches:
+    for batch in slices(batches, 128):
         sets = zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b")), strict=True)
         found = [linked(a, b, threshold) for a, b in sets]
         yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))

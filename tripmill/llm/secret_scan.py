@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmill.llm.frames import as_text
+from tripmill.llm.frames import as_text, slices
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Bits of guessing from which a value counts as a secret.
@@ -240,7 +240,7 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         spans = [find(t) for t in batch.column("text").to_pylist()]
         base = [_joined([s for s in own if s[0] != "guess"]) for own in spans]
         yield pa.record_batch({
@@ -265,7 +265,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
 
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t if t is None else redacted(t) for t in batch.column("text").to_pylist()]
         columns = {name: batch.column(name) for name in batch.schema.names}
         columns["text"] = pa.array(texts, batch.schema.field("text").type)

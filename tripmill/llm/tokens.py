@@ -12,13 +12,16 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-#: Words kept by a worker, at about 200 bytes each, in each of two generations.
-KEPT_WORDS = 600_000
+from tripmill.llm.frames import kept_for
+
+#: Bytes of words and their ids that a worker keeps, in each of two generations.
+KEPT_BYTES = 112 << 20
+#: Bytes of an entry besides its word and ids.
+_ENTRY_BYTES = 190
 
 # Letters that are letters in every version of Unicode, then marks but for the
 # apostrophe, which can begin a contraction.
@@ -45,6 +48,7 @@ class _Words(dict):
         size = tokenizer.get_vocab_size(with_added_tokens=True)
         self._bytes = [i.to_bytes(4, "little") for i in range(size)]
         self._older: dict[str, bytes] = {}
+        self._held = 0
 
     def _ids(self, shown: str) -> bytes:
         return b"".join([self._bytes[t.id] for t in self._merge(shown)])
@@ -76,9 +80,11 @@ class _Words(dict):
         ids = self._older.get(word)
         if ids is None:
             ids = self._made(word)
-        if len(self) >= KEPT_WORDS:
+        if self._held >= KEPT_BYTES:
             self._older = dict(self)
             self.clear()
+            self._held = 0
+        self._held += _ENTRY_BYTES + len(word) + len(ids)
         self[word] = ids
         return ids
 
@@ -108,10 +114,9 @@ class Encoder:
         return (words.whole(first) if first else b"") + ids + self._end
 
 
-@cache
 def encoder(tokenizer_path: str, end_id: int) -> Encoder:
     """One encoder for each worker process, with the words it has met."""
-    return Encoder(tokenizer_path, end_id)
+    return kept_for(("tokens", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))
 
 
 def encoded_batches(

@@ -28,7 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.frames import as_text
+from tripmill.llm.frames import as_text, kept_for
 
 #: Labelled rows of each class that training reads at most.
 TRAIN_ROWS = 2500
@@ -111,9 +111,9 @@ class Scorer:
         return max(map(self.word, set(_WORD.findall(text.lower()))), default=0)
 
 
-@cache
 def _scorer(model: Model) -> Scorer:
-    return Scorer(model)
+    """One scorer for each worker process, with the words it has met."""
+    return kept_for(("toxicity", model), lambda: Scorer(model))
 
 
 def score(saved: np.ndarray, threshold: float) -> np.ndarray:
