@@ -68,6 +68,15 @@ def test_buckets_split_and_chains_do_not(spark, monkeypatch):
     assert {r.group_size for r in found} == {3, 500}
 
 
+def test_more_rows_than_are_worked_on_at_a_time(spark):
+    rows = [(i, f"text {i % 1500}") for i in range(2000)]
+    docs = frame(spark, rows).coalesce(1)
+    found = exact_dedup.exact_copies(docs).collect()
+    assert sorted((r.doc_id, r.keep_id) for r in found) == [(i, i % 1500) for i in range(2000)]
+    near = near_dedup.near_copies(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in near) == [(i, i % 1500) for i in range(2000)]
+
+
 def test_equal_keys_with_unlike_bytes_stay_apart():
     import pyarrow as pa
 

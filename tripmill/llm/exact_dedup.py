@@ -22,7 +22,6 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,8 +64,9 @@ def _local_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         uids = row_ids(seen, batch.num_rows)
         seen += batch.num_rows
         entry: list[int] = []
-        columns = (batch.column(c).to_pylist() for c in ("key", "text"))
-        for uid, key, text in zip(uids.to_pylist(), *columns, strict=True):
+        numbers = uids.to_pylist()
+        keys, texts = (batch.column(c).to_pylist() for c in ("key", "text"))
+        for uid, key, text in zip(numbers, keys, texts, strict=True):
             known = next((e for e, t in entries.get(key, ()) if t == text), None)
             if known is None:
                 if held > HELD_BYTES:
@@ -75,17 +75,20 @@ def _local_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 entries.setdefault(key, []).append((uid, text))
                 held += len(text) + 200
             entry.append(uid if known is None else known)
-        own = pa.array(entry, pa.int64())
-        first = pc.equal(own, uids)
-        nothing = pa.scalar(None, pa.binary())
+        first = [a == b for a, b in zip(entry, numbers, strict=True)]
+
+        def of_first(values: list[bytes], first: list[bool] = first) -> pa.Array:
+            kept = [x if f else None for x, f in zip(values, first, strict=True)]
+            return pa.array(kept, pa.binary())
+
         yield pa.record_batch({
             "uid": uids,
             "doc_id": batch.column("doc_id"),
             "digest": batch.column("digest"),
-            "entry": own,
-            "key": pc.if_else(first, batch.column("key"), nothing),
-            "size": pc.cast(pc.binary_length(batch.column("text")), pa.int64()),
-            "text": pc.if_else(first, batch.column("text"), nothing),
+            "entry": pa.array(entry, pa.int64()),
+            "key": of_first(keys),
+            "size": pa.array([len(x) for x in texts], pa.int64()),
+            "text": of_first(texts),
         })
 
 
