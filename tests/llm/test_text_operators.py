@@ -1,5 +1,7 @@
+import functools
 import hashlib
 import math
+import math
 import random
 import re
 
@@ -75,27 +77,92 @@ def test_guess_bits_rank_values():
     assert secret_scan.guess_bits("aZ9x" * 20_000) > 0
 
 
+@functools.cache
 def least_over_plain_spans(value):
-    """Every cut again, with repetitions found one unit and one end at a time."""
+    """Every cut again, with repetitions and walks found one start and one end at a time."""
     low = value.lower()
     plain = low.translate(secret_scan._LEET)
     best = [0.0] + [float("inf")] * len(value)
     for at in range(len(value)):
         options = [(at + 1, secret_scan._char_bits(value[at]) - (at > 0))]
         options += secret_scan._bounded_spans(value, low, plain, at)
+        end, turns, before = at + 1, 0, None
+        while end < len(value):
+            a, b = (secret_scan._PLACE.get(low[i]) for i in (end - 1, end))
+            step = (b[0] - a[0], b[1] - a[1]) if a and b else (5, 5)
+            if max(map(abs, step)) != 1:
+                break
+            turns += step != before
+            before = step
+            end += 1
+            if end - at >= 3:
+                cost = secret_scan._WALK_START + 2 * turns + math.log2(end - at)
+                options.append((end, cost))
         for unit in range(1, len(value) - at):
             own = value[at : at + unit]
+            if value[at + unit : at + 2 * unit] != own:
+                continue
+            # The unit is priced as it stands where the run begins.
+            start = at
+            while start and value[start - 1] == value[start - 1 + unit]:
+                start -= 1
+            price = least_over_plain_spans(value[start : start + unit])
             times = 2
             while value[at : at + unit * times] == own * times:
                 if unit * times > 2:
-                    cost = sum(map(secret_scan._char_bits, own)) + math.log2(times)
-                    options.append((at + unit * times, cost))
+                    options.append((at + unit * times, price + math.log2(times)))
                 times += 1
         for end, bits in options:
             best[end] = min(best[end], best[at] + bits + (at > 0))
     return best[-1]
 
 
+def test_walks_and_their_repetitions():
+    draw = random.Random(6)
+    for value in ("asdfghjkl;" * 4, "qwertyuiop[]" * 9, "1234567890-=" * 6):
+        assert secret_scan.guess_bits(value) < 20
+    # One walk of any length, with few turns.
+    long = "qwertyuiop" + "poiuytrewq"[1:] * 1 + "wertyuiop"
+    assert secret_scan.guess_bits(long) < secret_scan.LEAST_BITS
+    for _ in range(1500):
+        value = "".join(draw.choice("qwasedrf12zx") for _ in range(draw.randint(1, 14)))
+        value += draw.choice(["", "qwertyuiop", "asdfghjkl", "X9#", "zaqxswcde"])
+        assert secret_scan.guess_bits(value) == pytest.approx(least_over_plain_spans(value)), value
+
+
+SENTENCES = [
+    "Your password is required.", "The secret is patience, they say.", "password: contact",
+    "The token is expired!", "Contact the office; a password is mandatory.",
+    "They say patience is required (contact the office).", "An expired token is mandatory here.",
+]
+
+
+def test_ordinary_sentences_hold_no_secrets(spark):
+    ship(spark)
+    rows = [(i, SENTENCES[i % len(SENTENCES)]) for i in range(70)]
+    rows += [(100, "Your password is xK9#mQ2$vL."), (101, "passphrase=patiencerequired")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    assert {i for i, s in spans.items() if "guess" in s} == {100}
+    start = len("Your password is ")
+    assert spans[100] == f"guess:{start}:{start + 10}"
+    masked = {r.doc_id: r.text for r in secret_scan.without_secrets(docs).collect()}
+    assert masked[100] == "Your password is [secret]."
+    assert all(masked[i] == t for i, t in rows if i != 100)
+
+
+def test_known_words_are_those_of_most_documents(spark):
+    ship(spark)
+    texts = ["alpha beta", "Alpha beta gamma", "alpha alpha beta", "gamma", "gamma delta", None, "zz zz zz"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rank = secret_scan.known_words(docs)
+    assert rank["password"] == 1 and "delta" not in rank and "zz" not in rank
+    after = len(secret_scan._RANK)
+    assert [rank[w] - after for w in ("alpha", "beta", "gamma")] == [1, 2, 3]
+    assert set(secret_scan.known_words(docs, words=1)) - set(secret_scan._RANK) == {"alpha"}
+    assert secret_scan.known_words(docs.limit(0)) == secret_scan._RANK
+
+
 def test_repetitions_of_any_length_and_unit():
     for value in ("x" * 68, "*" * 67, "a" * 100, "x" * 5000, "#-" * 400, "abcde9" * 40):
         assert secret_scan.guess_bits(value) < 33
@@ -351,6 +418,14 @@ def test_lattice_equals_viterbi_and_decodes(spark, pieces):
     for word, (_, ids) in found.items():
         assert ids == brute_viterbi(word, pieces), word
     assert pieces.at_marks and "," in found and "▁mat" in found
+    doubled = spark.createDataFrame(
+        [(i, t) for i in (None, 7) for t in ("hot cat", "the mat", "the mat", None)],
+        "doc_id long, text string",
+    )
+    again = lattice.decode_ids(lattice.encode_documents(doubled, pieces), pieces).collect()
+    assert sorted((str(r.doc_id), r.text) for r in again) == sorted(
+        (str(i), f" {t}" if t else "") for i, t in doubled.collect()
+    )
     whole = lattice.encode_documents(df, pieces)
     model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
     texts = dict(TEXTS)

@@ -19,7 +19,8 @@ scores 10 below the least piece. That is what SentencePiece calls a unigram mode
 The public table comes from a merge model, whose own encoder applies merges one by
 one, so its ids can differ; decoding is the same.
 
-Defined cases: null and empty texts have no words; a U+2581 in a text is read as a
+Defined cases: null and empty texts have no words; rows with one id, or with none, are
+encoded one by one; a U+2581 in a text is read as a
 space; a word of any length is encoded whole; an empty table gives no rows.
 """
 
@@ -208,22 +209,25 @@ def decode_ids(
 def encode_documents(
     docs: DataFrame, pieces: Pieces, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id, ids`` of each row; ids must be unique.
+    """``doc_id, ids`` of each row; ids may repeat or be null, each row stays its own.
 
     Words of documents look up the encoding of their word. Both sides of the join are
     dealt just before it, so that the adaptive join can split a frequent word. Two
     shuffles of all words make this a step for a cluster with disks to match.
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    # The number of a row in the scan, which a task that is tried again gives once more.
     spread = docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"), F.posexplode_outer(words_of(text, pieces)).alias("at", "word")
+        F.col(f"`{id_column}`").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"),
+        F.posexplode_outer(words_of(text, pieces)).alias("at", "word"),
     )
     found = encode_words(distinct_words(docs, pieces, text_column), pieces).select("word", "ids")
     found = found.repartition("word")
     each = F.struct("at", "ids")
     return (
         spread.join(found, "word", "left")
-        .groupBy("doc_id")
+        .groupBy("row", "doc_id")
         .agg(F.array_sort(F.collect_list(each)).alias("parts"))
         .select(
             "doc_id",
