@@ -58,11 +58,16 @@ def test_buckets_split_and_chains_do_not(spark, monkeypatch):
         "encode(text, 'UTF-8') AS text",
     )
     index.add(keyed.mapInArrow(exact_dedup._local_entries, exact_dedup._ROWS), 1)
-    depths = {bits for bits, _, _ in index.buckets}
+    buckets = [tuple(r) for r in index.leaves.collect()]
+    depths = {bits for bits, _, _ in buckets}
     assert max(depths) > 4
     # The leaves cover every key once.
-    leaves = sorted((prefix << (60 - bits), 1 << (60 - bits)) for bits, prefix, _ in index.buckets)
+    leaves = sorted((prefix << (60 - bits), 1 << (60 - bits)) for bits, prefix, _ in buckets)
     assert all(a + size <= b for (a, size), (b, _) in zip(leaves, leaves[1:]))
+    # Owners read each leaf once, in ranges of keys.
+    owned = index.owners(spark).collect()
+    paths = [p for r in owned for p in r.paths]
+    assert sorted(paths) == sorted(f"{index.folder(b)}/bucket={p}" for b, p, _ in buckets)
     found = exact_dedup.exact_copies(docs, bucket_rows=8).collect()
     assert sum(r.kept for r in found) == 301
     assert {r.group_size for r in found} == {3, 500}

@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.dataset as ds
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.frames import (
@@ -43,6 +44,8 @@ _OWNED = "entry long, class long, key binary"
 HELD_BYTES = 48 << 20
 #: Bits of a key that the directory can use.
 _KEY_BITS = 60
+#: Buckets that a writing task and an owner take, as the number of tasks follows the buckets.
+_TASK_BUCKETS, _OWNER_BUCKETS = 4, 8
 
 
 def normalised(text: str = "text") -> Column:
@@ -56,6 +59,12 @@ def bucket_of(key: str, bits: int) -> Column:
     return F.shiftright(head, _KEY_BITS - bits)
 
 
+def _range_of(prefix: Column, bits: int, ranges: int) -> Column:
+    """Which of ``ranges`` equal ranges of keys a prefix of ``bits`` bits lies in."""
+    share = prefix.cast("double") / float(1 << bits)
+    return F.least(F.floor(share * ranges), F.lit(ranges - 1)).cast("long")
+
+
 def _local_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each document; the first of a text in this task carries the text."""
     seen, held = 0, 0
@@ -95,13 +104,16 @@ def _local_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 class Index:
     """The directory: a folder of entries for the keys that share leading bits.
 
-    ``buckets`` has (bits, prefix, bytes) of each leaf, a few bytes for thousands
-    of documents. Rows without a key lie beside the buckets of the first depth.
+    Its leaves are a table of (bits, prefix, bytes), a row for thousands of documents. Tasks and
+    owners each take a range of keys: keys are digests, so equal ranges hold about as much, and
+    the number of ranges follows the number of buckets. Rows without a key lie beside the
+    buckets of the first depth.
     """
 
     def __init__(self, work: str, rows: int, bytes_: int):
         self.work, self.rows, self.bytes = work, rows, bytes_
-        self.buckets: list[tuple[int, int, int]] = []
+        self.depths: list[DataFrame] = []
+        self.widest = 1
 
     def folder(self, bits: int) -> str:
         return f"{self.work}/index/depth={bits}"
@@ -112,17 +124,23 @@ class Index:
         Returns what was written, as a frame.
         """
         spark = rows.sparkSession
-        tasks = max(spark.sparkContext.defaultParallelism, min(1 << bits, 1 << 14) // 4)
+        self.widest = max(self.widest, 1 << bits)
+        tasks = max(spark.sparkContext.defaultParallelism, (1 << bits) // _TASK_BUCKETS)
+        bucket = F.coalesce(bucket_of("key", bits), F.lit(-1))
         # Rows without a key are spread by their number.
+        task = F.when(bucket < 0, F.pmod(F.xxhash64("uid"), F.lit(tasks))).otherwise(
+            _range_of(bucket, bits, tasks)
+        )
         (
-            rows.withColumn("bucket", F.coalesce(bucket_of("key", bits), F.lit(-1)))
-            .repartition(tasks, F.when(F.col("bucket") < 0, -F.col("uid")).otherwise(F.col("bucket")))
+            rows.withColumn("bucket", bucket)
+            .repartitionById(tasks, task.cast("int"))
             .write.option("compression", "zstd")
             .partitionBy("bucket")
             .parquet(self.folder(bits))
         )
         written = spark.read.schema(f"{_ROWS}, bucket long").parquet(self.folder(bits))
-        found = (
+        full = F.col("many") & ((F.col("n") > self.rows) | (F.col("size") > self.bytes))
+        found = keep(
             written.filter("bucket >= 0")
             .groupBy("bucket")
             .agg(
@@ -130,30 +148,39 @@ class Index:
                 F.sum("size").alias("size"),
                 (F.min("key") != F.max("key")).alias("many"),
             )
+            .withColumn("full", full & F.lit(bits < _KEY_BITS)),
+            self.work,
+            "depth",
+        )
+        self.depths.append(
+            found.filter("NOT full").select(
+                F.lit(bits).alias("bits"), F.col("bucket").alias("prefix"), "size"
+            )
         )
-        full: list[int] = []
-        for prefix, n, size, many in found.toLocalIterator():
-            if many and (n > self.rows or size > self.bytes) and bits < _KEY_BITS:
-                full.append(prefix)
-            else:
-                self.buckets.append((bits, prefix, size))
-        if full:
-            self.add(written.filter(F.col("bucket").isin(full)).drop("bucket"), bits + 1)
+        split = found.filter("full").select("bucket")
+        if not split.isEmpty():
+            self.add(written.join(split, "bucket", "left_semi").select(*rows.columns), bits + 1)
         return written
 
-    def owners(self, tasks: int) -> list[list[str]]:
-        """The buckets that each owner task reads: key ranges of about equal bytes."""
-        ordered = sorted(self.buckets, key=lambda b: b[1] << (_KEY_BITS - b[0]))
-        share = max(1, sum(b[2] for b in ordered) // max(1, tasks))
-        ranges: list[list[str]] = []
-        size = share
-        for bits, prefix, bytes_ in ordered:
-            if size >= share:
-                ranges.append([])
-                size = 0
-            ranges[-1].append(f"{self.folder(bits)}/bucket={prefix}")
-            size += bytes_
-        return ranges
+    @property
+    def leaves(self) -> DataFrame:
+        """``bits, prefix, size`` of every bucket that was not split."""
+        return reduce(DataFrame.union, self.depths)
+
+    def owners(self, spark: SparkSession) -> DataFrame:
+        """``owner, paths``: the buckets that each owner task reads, a range of keys each."""
+        n = max(2 * spark.sparkContext.defaultParallelism, self.widest // _OWNER_BUCKETS)
+        path = F.concat(
+            F.lit(f"{self.work}/index/depth="), "bits", F.lit("/bucket="), F.col("prefix")
+        )
+        start = F.expr(f"shiftleft(prefix, {_KEY_BITS} - bits)")
+        owner = _range_of(start, _KEY_BITS, n).alias("owner")
+        return (
+            self.leaves.select(owner, path.alias("path"))
+            .groupBy("owner")
+            .agg(F.collect_list("path").alias("paths"))
+            .repartitionById(n, F.col("owner").cast("int"))
+        )
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,14 +238,7 @@ def exact_copies(
     index = Index(work, bucket_rows, bucket_bytes)
     bits = max(1, math.ceil(math.log2(max(2, docs.count() / (bucket_rows / 4)))))
     members = index.add(rows, bits).select("uid", "doc_id", "digest", "entry")
-    ranges = index.owners(2 * spark.sparkContext.defaultParallelism)
-    owned = keep(
-        spark.createDataFrame([(paths,) for paths in ranges], "paths array<string>")
-        .repartition(max(1, len(ranges)))
-        .mapInArrow(_own, _OWNED),
-        work,
-        "owned",
-    )
+    owned = keep(index.owners(spark).select("paths").mapInArrow(_own, _OWNED), work, "owned")
     # Sums go from copies to entries and from entries to classes, so that a
     # frequent text is never one key with all its rows.
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
