@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import posixpath
 import tempfile
 import uuid
@@ -69,6 +70,14 @@ def row_ids(start: int, n: int) -> pa.Array:
 _KEPT: dict = {}
 
 
+def _give_back() -> None:
+    """Return freed memory to the machine, which the allocators would hold for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def kept_for(owner: Hashable, make: Callable[[], T]) -> T:
     """A cache or model that a worker keeps between the tasks of one operator.
 
@@ -76,19 +85,25 @@ def kept_for(owner: Hashable, make: Callable[[], T]) -> T:
     """
     if owner not in _KEPT:
         _KEPT.clear()
+        _give_back()
         _KEPT[owner] = make()
     return _KEPT[owner]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = 512, keeps: bool = False
+) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` a few at a time, for work on Python objects of them.
 
-    For operators that keep nothing: what others have left in this worker goes.
+    Unless the operator ``keeps`` something, what others have left in this worker goes.
     """
-    _KEPT.clear()
+    if not keeps:
+        _KEPT.clear()
+    _give_back()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    _give_back()
 
 
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:

@@ -63,10 +63,14 @@ def best_fit(sizes: list[int], capacity: int) -> list[tuple[int, int]]:
 
 
 def _cut_texts(
-    batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int
+    batches: Iterator[pa.RecordBatch],
+    path: str,
+    end_id: int,
+    capacity: int,
+    kept_bytes: int | None,
 ) -> Iterator[pa.RecordBatch]:
     seen = 0
-    for part, encoded in encoded_batches(batches, path, end_id):
+    for part, encoded in encoded_batches(batches, path, end_id, kept_bytes):
         doc_ids = part.column("doc_id").to_pylist()
         rows = [
             (doc_id, k, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)]))
@@ -92,10 +96,15 @@ def token_pieces(
     capacity: int,
     id_column: str = "doc_id",
     text_column: str = "text",
+    kept_bytes: int | None = None,
 ) -> DataFrame:
-    """The pieces of every document with lengths and checksums; ``uid`` is unique."""
+    """The pieces of every document with lengths and checksums; ``uid`` is unique.
+
+    ``kept_bytes`` is what each worker holds of words it has met, see ``tokens``.
+    """
+    how = {"path": tokenizer_path, "end_id": end_id, "capacity": capacity}
     return as_text(docs, id_column, text_column).mapInArrow(
-        partial(_cut_texts, path=tokenizer_path, end_id=end_id, capacity=capacity), _PIECES
+        partial(_cut_texts, kept_bytes=kept_bytes, **how), _PIECES
     )
 
 
@@ -177,9 +186,11 @@ def pack_documents(
     end_id: int,
     capacity: int = 1024,
     work: str | None = None,
+    kept_bytes: int | None = None,
     **how,
 ) -> DataFrame:
     """Cut and pack whole documents; see the module for the order of things."""
     work = workspace(docs.sparkSession, work)
-    pieces = keep(token_pieces(docs, tokenizer_path, end_id, capacity), work, "pieces")
+    cut_up = token_pieces(docs, tokenizer_path, end_id, capacity, kept_bytes=kept_bytes)
+    pieces = keep(cut_up, work, "pieces")
     return pack(pieces, capacity, work, **how)

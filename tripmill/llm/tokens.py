@@ -16,9 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tripmill.llm.frames import kept_for
+from tripmill.llm.frames import kept_for, slices
 
-#: Bytes of words and their ids that a worker keeps, in each of two generations.
+#: Bytes of words and their ids that a worker keeps, in each of two generations, unless told
+#: otherwise. Fewer bytes mean that rare words are cut again when they come back.
 KEPT_BYTES = 112 << 20
 #: Bytes of an entry besides its word and ids.
 _ENTRY_BYTES = 190
@@ -39,8 +40,9 @@ class _Words(dict):
     """Ids by word. A word stands for itself with a space before it, unless it
     begins with a line feed."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, kept_bytes: int):
         super().__init__()
+        self._kept_bytes = kept_bytes
         self._tokenizer = tokenizer
         self._merge = tokenizer.model.tokenize
         self._letters = _byte_letters()
@@ -80,7 +82,7 @@ class _Words(dict):
         ids = self._older.get(word)
         if ids is None:
             ids = self._made(word)
-        if self._held >= KEPT_BYTES:
+        if self._held >= self._kept_bytes:
             self._older = dict(self)
             self.clear()
             self._held = 0
@@ -92,14 +94,14 @@ class _Words(dict):
 class Encoder:
     """Ids of texts with ``end_id`` after each, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, tokenizer_path: str, end_id: int):
+    def __init__(self, tokenizer_path: str, end_id: int, kept_bytes: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         self._special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self._end = np.array([end_id], "<u4").tobytes()
-        self._words = _Words(tokenizer)
+        self._words = _Words(tokenizer, KEPT_BYTES if kept_bytes is None else kept_bytes)
 
     def encode(self, text: str) -> bytes:
         words = self._words
@@ -114,17 +116,20 @@ class Encoder:
         return (words.whole(first) if first else b"") + ids + self._end
 
 
-def encoder(tokenizer_path: str, end_id: int) -> Encoder:
+def encoder(tokenizer_path: str, end_id: int, kept_bytes: int | None = None) -> Encoder:
     """One encoder for each worker process, with the words it has met."""
-    return kept_for(("tokens", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))
+    how = (tokenizer_path, end_id, kept_bytes)
+    return kept_for(("tokens", *how), lambda: Encoder(*how))
 
 
 def encoded_batches(
-    batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, rows: int = 256
+    batches: Iterator[pa.RecordBatch],
+    tokenizer_path: str,
+    end_id: int,
+    kept_bytes: int | None = None,
+    rows: int = 256,
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with the ids of their ``text`` column."""
-    encode = encoder(tokenizer_path, end_id).encode
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            yield part, [encode(x or "") for x in part.column("text").to_pylist()]
+    encode = encoder(tokenizer_path, end_id, kept_bytes).encode
+    for part in slices(batches, rows, keeps=True):
+        yield part, [encode(x or "") for x in part.column("text").to_pylist()]

@@ -36,7 +36,7 @@ import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.frames import as_text, kept_for
+from tripmill.llm.frames import as_text, kept_for, slices
 
 #: Labelled rows of each class that training reads at most.
 TRAIN_ROWS = 2500
@@ -272,7 +272,7 @@ def training_texts(
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(model)
-    for batch in batches:
+    for batch in slices(batches, keeps=True):
         saved = np.array([scorer.saved(t) for t in batch.column("text").to_pylist()], np.float64)
         scores = score(saved, model.threshold)
         yield pa.record_batch({
@@ -312,7 +312,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, held_out: Column, **how) -
 
 def _clean(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(model)
-    for batch in batches:
+    for batch in slices(batches, keeps=True):
         texts = batch.column("text").to_pylist()
         keep = [scorer.saved(t or "") < model.threshold for t in texts]
         yield batch.filter(pa.array(keep, pa.bool_()))
