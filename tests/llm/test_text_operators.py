@@ -159,7 +159,16 @@ def test_known_words_are_those_of_most_documents(spark):
     assert rank["password"] == 1 and "delta" not in rank and "zz" not in rank
     after = len(secret_scan._RANK)
     assert [rank[w] - after for w in ("alpha", "beta", "gamma")] == [1, 2, 3]
-    assert set(secret_scan.known_words(docs, words=1)) - set(secret_scan._RANK) == {"alpha"}
+    # Words of one count are known together or not at all.
+    assert secret_scan.known_words(docs, words=2) == secret_scan._RANK
+    # The word of k letters y is in the first k texts.
+    many = [(" ".join(f"c{'y' * k}" for k in range(3, 40) if k > i),) for i in range(60)]
+    more = spark.createDataFrame(many, "text string")
+    counts = {f"c{'y' * k}": min(k, 60) for k in range(3, 40) if 1 + k <= 24}
+    for words in (1, 5, 12, 100):
+        got = set(secret_scan.known_words(more, words=words)) - set(secret_scan._RANK)
+        want = set(sorted(counts, key=counts.get, reverse=True)[:words])
+        assert got == want
     assert secret_scan.known_words(docs.limit(0)) == secret_scan._RANK
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.frames import as_text, slices
+from tripmill.llm.frames import as_text, keep, slices, workspace
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Bits of guessing from which a value counts as a secret.
@@ -327,24 +327,50 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _least_count(counted: DataFrame, words: int) -> int:
+    """The smallest count that at most ``words`` words of ``word, n, level`` reach.
+
+    Counts are added up by level, 16 to a doubling, and then one by one in the level
+    that holds the limit, so a few hundred rows come to the driver, whatever the vocabulary.
+    """
+    left, least = words, 1 << 62
+    levels = counted.groupBy("level").agg(F.count("*").alias("words"), F.min("n").alias("n"))
+    for row in sorted(levels.collect(), key=lambda r: -r["level"]):
+        if row["words"] > left:
+            inside = counted.filter(F.col("level") == row["level"]).groupBy("n").count()
+            for n, there in sorted(map(tuple, inside.collect()), reverse=True):
+                if there > left:
+                    break
+                left, least = left - there, n
+            break
+        left, least = left - row["words"], row["n"]
+    return least
+
+
 def known_words(
-    docs: DataFrame, text_column: str = "text", words: int = COMMON_WORDS
+    docs: DataFrame, text_column: str = "text", words: int = COMMON_WORDS, work: str | None = None
 ) -> dict[str, int]:
-    """The rank of each word that a guesser knows: frequent passwords, then the ``words``
-    words that occur in most documents of ``docs`` (ties: the smaller word)."""
+    """The rank of each word that a guesser knows: frequent passwords, then the words that
+    occur in most documents of ``docs``, ``words`` at most.
+
+    Words that occur in equally many documents are known together or not at all, and rank by
+    their letters.
+    """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
-    found = (
+    level = F.floor(16 * F.log2("n")).cast("int")
+    counted = keep(
         docs.select(text)
         .mapInArrow(_count_words, "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= _COMMON_IN)
-        .orderBy(F.desc("n"), "word")
-        .limit(words)
-        .collect()
+        .withColumn("level", level),
+        workspace(docs.sparkSession, work),
+        "words",
     )
+    found = counted.filter(F.col("n") >= _least_count(counted, words)).collect()
     rank = dict(_RANK)
-    for row in found:
+    for row in sorted(found, key=lambda r: (-r["n"], r["word"])):
         rank.setdefault(row["word"], len(rank) + 1)
     return rank
 
