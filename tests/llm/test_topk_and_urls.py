@@ -51,6 +51,38 @@ def test_top_k_equals_brute_force(spark, seed, dims, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute(rows, 50, 5)
 
 
+def visited(spark, rows, monkeypatch):
+    """The answers, and which share of (query group, block) pairs is visited."""
+    kept = {}
+    real = topk.keep
+
+    def recorded(df, work, name):
+        kept[name] = real(df, work, name)
+        return kept[name]
+
+    with monkeypatch.context() as m:
+        m.setattr(topk, "keep", recorded)
+        got = topk.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=5)
+        found = sorted(map(tuple, got.collect()))
+    groups = kept["queries"].select("query_group").distinct().count()
+    return found, kept["wanted"].count() / (groups * kept["blocks"].count())
+
+
+def test_clustered_vectors_are_pruned(spark, monkeypatch):
+    draw = random.Random(4)
+    centres = [[draw.gauss(0, 4) for _ in range(8)] for _ in range(12)]
+    rows = [
+        (i, [x + draw.gauss(0, 0.05) for x in centres[draw.randrange(12)]]) for i in range(12_000)
+    ]
+    found, share = visited(spark, rows, monkeypatch)
+    sample = [r for r in found if r[0] % 2000 == 0]
+    assert sample == [r for r in brute(rows, 2000, 5)]
+    assert share < 0.55
+    flat = [(i, [draw.gauss(0, 1) for _ in range(8)]) for i in range(12_000)]
+    _, share = visited(spark, flat, monkeypatch)
+    assert share > 0.9
+
+
 def test_top_k_of_few_or_no_rows(spark):
     rows = [(0, [1.0]), (1, [2.0]), (2, [-1.0])]
     got = topk.top_k(vectors(spark, rows), F.col("vec_id") == 0, k=5).collect()

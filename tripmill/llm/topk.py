@@ -97,6 +97,20 @@ class Shape:
 # Blocks
 
 
+def _chained(pivots: np.ndarray) -> np.ndarray:
+    """The pivots in an order in which each is followed by the nearest one left.
+
+    Vectors and queries are dealt by the number of their pivot, so neighbours stay together.
+    """
+    left, order = list(range(len(pivots))), []
+    at = 0
+    while left:
+        order.append(left.pop(at))
+        if left:
+            at = int(((pivots[left] - pivots[order[-1]]) ** 2).sum(axis=1).argmin())
+    return pivots[order]
+
+
 def _nearest(batches: Iterator[pa.RecordBatch], pivots: np.ndarray, shape: Shape):
     """Number the rows and find the nearest pivot of each."""
     seen = 0
@@ -226,6 +240,25 @@ def _copies(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.withColumn(column, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
+def _grouped(queries: DataFrame) -> tuple[DataFrame, int]:
+    """Add ``query_group``, about ``QUERY_GROUP`` queries each, and say how many groups there are.
+
+    Queries near one pivot share a group as far as they fill it, so a group's queries
+    want the same blocks. There is a row for each pivot, of which there are ``PIVOTS`` at most.
+    """
+    spark, places, total = queries.sparkSession, [], 0
+    for row in queries.groupBy("pivot").count().orderBy("pivot").collect():
+        places.append((row["pivot"], total, row["count"]))
+        total += row["count"]
+    near = spark.createDataFrame(places, "pivot int, earlier long, near long")
+    place = F.col("earlier") + F.pmod(F.xxhash64("query_uid"), F.col("near"))
+    group = F.floor(place / QUERY_GROUP).cast("int").alias("query_group")
+    dealt = queries.join(F.broadcast(near), "pivot").select(
+        "query_uid", "query_id", "terms", group
+    )
+    return dealt, group_count(total, QUERY_GROUP)
+
+
 def top_k(
     rows: DataFrame,
     is_query,
@@ -249,7 +282,7 @@ def top_k(
     terms = max(1, size["terms"] or 0)
     shape = Shape(terms, terms * (size["greatest"] or 0) ** 2 < _EXACT)
     pivots = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
-    pivots = shape.matrix([r["vector"] for r in pivots]).astype(np.float64)
+    pivots = _chained(shape.matrix([r["vector"] for r in pivots]).astype(np.float64))
     numbered = keep(
         vectors.mapInArrow(
             partial(_nearest, pivots=pivots, shape=shape),
@@ -268,11 +301,10 @@ def top_k(
         "blocks",
     )
     queries = numbered.filter(is_query).select(
-        F.col("uid").alias("query_uid"), F.col("vec_id").alias("query_id"), "terms"
+        F.col("uid").alias("query_uid"), F.col("vec_id").alias("query_id"), "terms", "pivot"
     )
-    query_groups = group_count(queries.count(), QUERY_GROUP)
-    query_group = F.pmod(F.xxhash64("query_uid"), F.lit(query_groups)).cast("int")
-    queries = keep(queries.withColumn("query_group", query_group), work, "queries")
+    queries, query_groups = _grouped(queries)
+    queries = keep(queries, work, "queries")
     n_blocks = blocks.count()
     parts = group_count(n_blocks, SUMMARY_GROUP)
     part = F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")
@@ -330,9 +362,9 @@ def top_k(
     dealt = wanted.withColumn(
         "block_group", F.pmod(F.xxhash64("block"), F.lit(block_groups)).cast("int")
     )
-    found = scored(
-        _copies(asking, "block_group", block_groups), dealt, ["query_group", "block_group"]
-    )
+    # Queries go to the groups of blocks that their group wants something of, and to no other.
+    visits = keep(dealt.select("query_group", "block_group").distinct(), work, "visits")
+    found = scored(asking.join(visits, "query_group"), dealt, ["query_group", "block_group"])
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
