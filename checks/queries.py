@@ -27,6 +27,7 @@ from tripmill.plans.staging import stage_trips
 from tripmill.scenario import Scenario, sized_name
 from tripmill.schema import AUDITED, MARTS, MEASURES, STAGED_NAMES
 from tripmill.scratch import materialise, scratch_dir
+from tripmill.sinks.clustered import read_window
 from tripmill.sinks.tables import ensure_schema, format_sink, replace_staging_view
 from tripmill.sources.trips import load_trips, read_trips, trips_table
 from tripmill.sources.zones import chicago_zones, read_zones
@@ -152,7 +153,7 @@ def window_of_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = runs.extract_to_parquet(
         trips(spark, sf_dir), everything, scratch_dir(spark), clustered=True
     )
-    return in_window(read_trips(spark, path), SMALL)
+    return read_window(spark, path, SMALL)
 
 
 def resumed_routes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """A window on the start time reads only its own row groups."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,7 +10,7 @@ from conftest import bag, utc
 from tripmill.operators.selection import in_window
 from tripmill.plans import runs
 from tripmill.scenario import Scenario
-from tripmill.sinks.clustered import write_trips
+from tripmill.sinks.clustered import read_window, write_trips
 from tripmill.sinks.versions import current_folder, read_folder, version_path
 
 YEARS = Scenario("years", datetime(2013, 1, 1), datetime(2018, 1, 1))
@@ -92,6 +92,35 @@ def test_a_window_reads_only_its_row_groups(spark, trips, tmp_path):
         assert read[True] < 0.1 * read[False]
 
 
+def test_a_window_opens_only_its_files(spark, trips, tmp_path):
+    path = runs.extract_to_parquet(trips, YEARS, str(tmp_path), clustered=True)
+    cut = read_window(spark, path, WEEK)
+    everything = read_folder(spark, path)
+    assert bag(cut) == bag(in_window(trips, WEEK))
+    assert 0 < len(cut.inputFiles()) < len(everything.inputFiles()) / 2
+    assert scanned(cut) < 30_000
+    # Windows at the edges of files, and beyond all of them.
+    for row in spark.read.parquet(f"{everything.inputFiles()[0].rpartition('/')[0]}/_bounds").collect():
+        for edge in (row["trip_start_timestamp"], row["last"]):
+            edge = edge.replace(tzinfo=None)
+            for window in (
+                Scenario("at", edge, edge + timedelta(microseconds=1)),
+                Scenario("until", edge - timedelta(days=3), edge),
+            ):
+                assert bag(read_window(spark, path, window)) == bag(in_window(everything, window))
+    none = read_window(spark, path, Scenario("none", datetime(1990, 1, 1), datetime(1991, 1, 1)))
+    assert none.columns == everything.columns and none.isEmpty()
+
+
+def test_windows_of_folders_without_bounds(spark, trips, tmp_path):
+    plain, versioned = f"{tmp_path}/plain", f"{tmp_path}/versioned"
+    trips.write.parquet(plain)
+    write_trips(trips, versioned)
+    want = bag(in_window(trips, WEEK))
+    for path in (plain, versioned, f"{tmp_path}/pl*"):
+        assert bag(read_window(spark, path, WEEK)) == want
+
+
 def test_the_extract_is_clustered_on_request(spark, trips, tmp_path):
     path = runs.extract_to_parquet(trips, YEARS, str(tmp_path), clustered=True)
     assert bag(read_folder(spark, path)) == bag(in_window(trips, YEARS))

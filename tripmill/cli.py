@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmill.plans import runs
 from tripmill.plans.staging import NULL_TIPS, SURVIVORS
 from tripmill.scenario import DEFAULT_SIZE, SCENARIOS
+from tripmill.schema import TRIP_SCHEMA, check
+from tripmill.sinks.clustered import read_window
 from tripmill.sinks.tables import Sink, ensure_schema, format_sink, replace_table
 from tripmill.sources.trips import load_trips, read_trips, trips_table
 from tripmill.sources.zones import chicago_zones, read_zones
@@ -79,6 +81,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     scenario = SCENARIOS[args.size]
 
     def trips() -> DataFrame:
+        if args.trips and args.step == "extract":
+            return check(read_window(spark, args.trips, scenario), TRIP_SCHEMA)
         if args.trips:
             return read_trips(spark, args.trips)
         if args.step == "extract" and args.format:

@@ -72,7 +72,9 @@ def extract_to_parquet(
     _journal(spark, root, scenario.name, run_id).once(
         "extract",
         lambda: {"window": str(scenario), "how": how, "trips": source_mark(trips)},
-        lambda: write_trips(extract(trips, scenario, **how), path),
+        lambda: write_trips(
+            extract(trips, scenario, **how), path, bounds=how.get("clustered", False)
+        ),
         lambda version: version == current_folder(spark, path),
     )
     return path

@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -151,10 +152,16 @@ def _sweep_folder(spark: SparkSession, path: str) -> None:
                 remove_folder(spark, f"{path}/{name}")
 
 
-def write_parquet(df: DataFrame, path: str, **options: str) -> str:
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    before_commit: Callable[[str], None] | None = None,
+    **options: str,
+) -> str:
     """Replace the rows of folder ``path`` and return the new version.
 
-    Until the commit, and if anything fails, readers get the rows from before. ``options``
+    Until the commit, and if anything fails, readers get the rows from before. ``before_commit``
+    is called with the new version's folder once its rows are written; ``options``
     are those of Spark's Parquet writer.
     """
     spark, path = df.sparkSession, path.rstrip("/")
@@ -162,6 +169,8 @@ def write_parquet(df: DataFrame, path: str, **options: str) -> str:
     run = version_path(path, version)
     try:
         df.write.options(**options).parquet(run)
+        if before_commit is not None:
+            before_commit(run)
         files, at = _hadoop(spark, path)
         files.mkdirs(at(f"{path}/{_COMMITS}"))
         put_file(spark, f"{path}/{_COMMITS}/{version}", json.dumps({"files": names_in(spark, run)}))
