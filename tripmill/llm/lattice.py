@@ -217,11 +217,13 @@ def encode_documents(
     """
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     # The number of a row in the scan, which a task that is tried again gives once more.
-    spread = docs.select(
+    numbered = docs.select(
         F.col(f"`{id_column}`").alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
-        F.posexplode_outer(words_of(text, pieces)).alias("at", "word"),
+        text.alias("text"),
     )
+    words = words_of(F.col("text"), pieces)
+    spread = numbered.select("doc_id", "row", F.posexplode_outer(words).alias("at", "word"))
     found = encode_words(distinct_words(docs, pieces, text_column), pieces).select("word", "ids")
     found = found.repartition("word")
     each = F.struct("at", "ids")
