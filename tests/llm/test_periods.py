@@ -29,10 +29,10 @@ def plain_runs(words, least=6, repeats=4):
     return sorted(found)
 
 
-@pytest.mark.parametrize("least, repeats", [(6, 4), (3, 3), (1, 5), (20, 3)])
+@pytest.mark.parametrize("least, repeats", [(6, 4), (3, 4), (1, 5), (20, 4), (7, 6)])
 def test_runs_against_every_period(least, repeats):
     draw = random.Random(least)
-    for _ in range(3000):
+    for _ in range(6000):
         few = draw.choice([1, 2, 2, 3, 4])
         words = draw.choices(range(few), k=draw.randint(0, 12))
         for _ in range(draw.randint(0, 3)):
@@ -52,7 +52,7 @@ def test_runs_within_runs_and_long_ones():
     two = random.Random(1).choices("ab", k=20_000)
     assert all(n >= max(6, 4 * q) for _, n, q in periods.periodic_runs(two))
     with pytest.raises(ValueError):
-        periods.periodic_runs([1, 1], 2, 2)
+        periods.periodic_runs([1, 1], 2, 3)
 
 
 def test_strongest_and_collapsed():

@@ -71,12 +71,13 @@ def _diagonals(lags: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int
 def periodic_runs(words: list, least: int = 6, repeats: int = 4) -> list[Run]:
     """``start, length, period`` of the runs in ``words``, by start and period.
 
-    A run has at least ``least`` words and ``repeats`` (three or more) times its smallest
-    period, and cannot be made longer.
+    A run has at least ``least`` words and ``repeats`` (four or more) times its smallest
+    period, and cannot be made longer. With four repeats a context is at least three times as long
+    as the octave's least period, which is what the periodicity lemma needs.
     """
     n = len(words)
-    if repeats < 3:
-        raise ValueError("runs of fewer than three repeats are not found by this method")
+    if repeats < 4:
+        raise ValueError("runs of fewer than four repeats are not found by this method")
     if n < max(least, repeats):
         return []
     numbers: dict = {}
