@@ -87,9 +87,8 @@ def periodic_runs(words: list, least: int = 6, repeats: int = 4) -> list[Run]:
     found: list[Run] = []
     width, low = 1, 1
     while low * repeats <= n:
-        context = min(
-            max(least - q, (repeats - 1) * q) for q in range(low, min(2 * low, least + low))
-        )
+        # What a run of this octave, or of a later one, has at least: contexts only grow.
+        context = min(max(least - q, (repeats - 1) * q) for q in range(low, max(2 * low, least)))
         while 2 * width <= context:
             ranks, recurs = _pair_ranks(ranks[:-width], ranks[width:])
             width *= 2
