@@ -273,3 +273,19 @@ def test_fields_of_unlike_sets_agree_independently():
         assert abs(np.mean(equal) - 256 * p) < 3
         assert np.std(equal) < 1.6 * spread
     assert near_dedup.least_equal(0.85) < 256 * (0.25 + 0.75 * 0.85) - 7 * 5
+
+
+def test_very_long_texts(spark):
+    draw = random.Random(7)
+    text = [f"{draw.getrandbits(32):x}" for _ in range(200_000)]
+    changed = list(text)
+    for at in range(0, 200_000, 2000):
+        changed[at] = "other"
+    rows = [(1, " ".join(text)), (2, " ".join(changed)), (3, " ".join(text[:100_000])), (4, " ".join(text))]
+    found = {r.doc_id: r for r in near_dedup.near_copies(frame(spark, rows)).collect()}
+    # 100 of 200,000 words are in 500 shingles; half a text is no near copy.
+    assert [found[i].component_id for i in (1, 2, 3, 4)] == [1, 1, 3, 1]
+    assert found[1].n_shingles == len(set(zip(*(text[k:] for k in range(5)), strict=False)))
+    assert {r.doc_id: r.keep_id for r in exact_dedup.exact_copies(frame(spark, rows)).collect()} == {
+        1: 1, 2: 2, 3: 3, 4: 1,
+    }

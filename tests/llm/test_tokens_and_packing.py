@@ -185,3 +185,23 @@ def test_half_full_bins_stop_the_rounds(spark):
 def test_pack_an_empty_table(spark):
     docs = odd_docs(spark).limit(0)
     assert packing.pack_documents(docs, queries.TOKENIZER, queries.END_ID).collect() == []
+
+
+def test_very_long_texts(spark, plain):
+    ship(spark)
+    draw = random.Random(3)
+    text = " ".join(f"w{draw.randrange(5000)}," for _ in range(250_000))
+    docs = spark.createDataFrame([(2, text), (1, "a b")], "doc_id long, text string")
+    ids = expected(plain, text)
+    pieces = packing.pack_documents(docs, queries.TOKENIZER, queries.END_ID).filter("doc_id = 2")
+    rows = sorted(pieces.select("piece", "start", "length", "ids_crc32").collect())
+    assert len(rows) == -(-len(ids) // 1024)
+    for piece, start, length, crc in rows[:3] + rows[-3:]:
+        own = np.array(ids[start : start + length], "<u4").tobytes()
+        assert zlib.crc32(own) == crc
+    files, ids_of = id_files.write_token_files(
+        docs, queries.TOKENIZER, f"{scratch_dir(spark)}/files", queries.END_ID, queries.VOCABULARY
+    )
+    back = {r.doc_id: r for r in id_files.read_token_files(files, ids_of).collect()}
+    assert back[2].n_tokens == len(ids) and back[2].start == back[1].n_tokens
+    assert back[2].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())

@@ -13,7 +13,9 @@ bytes, so that two texts with one key stay apart. Then every row looks up its ow
 entry.
 
 Defined cases: a null text is empty; of equal texts the smallest ``doc_id`` stays,
-null ids last, and of rows with the same id one; an empty table gives no rows.
+null ids last, and of rows with the same id one; texts of any length are compared whole; an
+empty table gives no rows. Other columns of any name play no part, but for ``without_copies``,
+which returns them.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ all languages: those whose ids have the smallest hashes.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and not
 ambiguous; so is every text if there is nothing to learn from; with one language
-only, each text with a letter is of it; ids may repeat or be null.
+only, each text with a letter is of it; ids may repeat or be null; texts of any length are
+read whole; an empty table gives no rows. Other columns of any name play no part.
 """
 
 from __future__ import annotations

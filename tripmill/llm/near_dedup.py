@@ -25,7 +25,9 @@ bucket spreads over many tasks.
 
 Defined cases: a null or empty text, or one of white space alone, has an empty set
 and is linked with nothing; fewer words than a shingle make one shingle; rows with
-one id are apart but share the smallest id of their component; null ids come last.
+one id are apart but share the smallest id of their component; null ids come last; texts of any
+length are read whole; an empty table gives no rows. Other columns of any name play no part, but
+for ``without_near_copies``, which returns them.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ scored in many tasks.
 Defined cases: vectors that are null, or hold a null or a component that is not finite,
 and rows without an id take no part; shorter vectors count as filled up with zeros;
 rows with one id are apart, each is a candidate for the other; fewer than k
-candidates give fewer rows; a score beyond 64 bits raises an error.
+candidates give fewer rows; a score beyond 64 bits raises an error; an empty table gives no
+rows. Other columns of any name play no part.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ their ids, and no row that the caller holds out.
 
 Defined cases: null and empty texts and those without a word save nothing and get
 the lowest score; without any toxic training text nothing is toxic; ids may repeat
-or be null; a document without a label is scored as any other.
+or be null; a document without a label is scored as any other; texts of any length are read
+whole; an empty table gives no rows. Other columns of any name play no part.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ it, if the path starts with the rule's; the longest that fits wins.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, which
 no rule fits and which counts as a key of its own; ids may repeat or be null; an
-empty table gives no rows; an empty list blocks nothing.
+empty table gives no rows; an empty list blocks nothing. Other columns of any name play no part.
 """
 
 from __future__ import annotations
