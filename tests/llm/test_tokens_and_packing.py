@@ -44,6 +44,18 @@ def test_words_give_the_ids_of_whole_texts(plain):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected(plain, text), text
 
 
+def test_texts_share_the_words_that_are_merged(plain, monkeypatch):
+    encoder = tokens.Encoder(queries.TOKENIZER, queries.END_ID)
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 60)
+    texts = [None, "", "a tree, a tree. TREE", "x tree; (tree) d'été, été\ntree!", "tree", "y é..."]
+    texts = [t or "" for t in texts] + [f"b tree{'!?'[i % 2] * (i % 9)}" for i in range(50)]
+    found = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)]
+    assert found == [expected(plain, t) for t in texts]
+    assert encoder.encode_all([]) == []
+    # One entry for a word, whatever marks follow it.
+    assert [w for w in encoder._words if w.startswith("tree")] == ["tree"]
+
+
 def test_a_worker_keeps_one_cache(plain):
     from tripmill.llm import frames
 

@@ -43,6 +43,8 @@ from tripmill.llm.tokens import encoded_batches
 
 MAGIC = b"TMIDS001"
 BLOCK_IDS = 1 << 16
+#: Documents whose words are looked up together.
+ROWS_AT_A_TIME = 2048
 #: Lengths of the four ids that a control byte describes.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 _BYTES_OF = _LENGTHS.sum(axis=1).astype(np.int64)
@@ -129,7 +131,7 @@ def _tokenise(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int, dtype: str
 ) -> Iterator[pa.RecordBatch]:
     seen = 0
-    for part, encoded in encoded_batches(batches, path, end_id):
+    for part, encoded in encoded_batches(batches, path, end_id, rows=ROWS_AT_A_TIME):
         yield pa.record_batch({
             "row": row_ids(seen, part.num_rows),
             "doc_id": part.column("doc_id"),

@@ -3,8 +3,9 @@
 A byte-level tokenizer cuts a text before it merges anything: at every single
 space or line feed between other characters, and between letters and punctuation.
 So each worker keeps the ids of words it has met, and the library works on a word
-once and not at each of its places. Texts and words of any other shape go through
-the library whole.
+once and not at each of its places. Arrow splits some hundred texts at a time and
+numbers their words, so that a word that they share is looked up once for all of
+them. Texts and words of any other shape go through the library whole.
 """
 
 from __future__ import annotations
@@ -12,23 +13,34 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from tripmill.llm.frames import kept_for, slices
+from tripmill.llm.frames import kept_for, slices, texts_of
 
 #: Bytes of words and their ids that a worker keeps, in each of two generations, unless told
 #: otherwise. Fewer bytes mean that rare words are cut again when they come back.
 KEPT_BYTES = 112 << 20
+#: Characters of texts that are split at a time, or one longer text.
+GROUP_CHARS = 8 << 20
 #: Bytes of an entry besides its word and ids.
 _ENTRY_BYTES = 190
+#: Runs of marks whose ids a worker keeps for good.
+_MARKS_KEPT = 4096
 
 # Letters that are letters in every version of Unicode, then marks but for the
 # apostrophe, which can begin a contraction.
 _PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
+_LATIN = [c for c in map(chr, range(256)) if _PLAIN.fullmatch(c)]
+_LETTERS = "".join(c for c in _LATIN if c.isalpha())
+_MARKS = "".join(c for c in _LATIN if c != "\n" and not c.isalpha())
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte: itself if printable, else from 256 up."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -50,6 +62,7 @@ class _Words(dict):
         size = tokenizer.get_vocab_size(with_added_tokens=True)
         self._bytes = [i.to_bytes(4, "little") for i in range(size)]
         self._older: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
         self._held = 0
 
     def _ids(self, shown: str) -> bytes:
@@ -73,11 +86,20 @@ class _Words(dict):
             return self.whole(word if word[0] == "\n" else " " + word)
         feed, letters, marks = shape.groups()
         if feed:
-            return self._merged(feed) + self._merged(letters) + self._merged(marks)
+            return self.marked(feed) + self._merged(letters) + self.marked(marks)
         if letters and marks:
-            return self[letters] + self._merged(marks)
+            return self[letters] + self.marked(marks)
         return self._merged(" " + word)
 
+    def marked(self, marks: str) -> bytes:
+        """Ids of a feed or of marks behind letters, of which there are few kinds."""
+        ids = self._marks.get(marks)
+        if ids is None:
+            ids = self._merged(marks)
+            if len(self._marks) < _MARKS_KEPT and len(marks) < 8:
+                self._marks[marks] = ids
+        return ids
+
     def __missing__(self, word: str) -> bytes:
         ids = self._older.get(word)
         if ids is None:
@@ -104,16 +126,67 @@ class Encoder:
         self._words = _Words(tokenizer, KEPT_BYTES if kept_bytes is None else kept_bytes)
 
     def encode(self, text: str) -> bytes:
-        words = self._words
-        # Only single spaces and line feeds, each between two words, and no
-        # special token that is spelt out.
-        by_word = " ".join(text.split()) == text.replace("\n", " ")
-        if not by_word or any(x in text for x in self._special):
-            return words.whole(text) + self._end
-        # A word at the start has no space before it.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        ids = b"".join(map(words.__getitem__, rest))
-        return (words.whole(first) if first else b"") + ids + self._end
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; words that several texts share are looked up once."""
+        place = np.cumsum([len(x) for x in texts]) // GROUP_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(texts)]
+        return [x for at, to in pairwise(cuts) for x in self._encode_group(texts[at:to])]
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        whole = self._words.whole
+        heads: list[bytes] = []
+        rests: list[str | None] = []
+        for text in texts:
+            # Only single spaces and line feeds, each between two words, and no
+            # special token that is spelt out.
+            by_word = " ".join(text.split()) == text.replace("\n", " ")
+            if not by_word or any(x in text for x in self._special):
+                heads.append(whole(text))
+                rests.append(None)
+                continue
+            # A word at the start has no space before it.
+            first, _, rest = text.replace("\n", " \n").partition(" ")
+            heads.append(whole(first) if first else b"")
+            rests.append(rest or None)
+        tails = self._by_word(rests)
+        return [h + t + self._end for h, t in zip(heads, tails, strict=True)]
+
+    def _by_word(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of the words between the spaces of each text; null has none."""
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        words = split.flatten().dictionary_encode()
+        ids = self._looked_up(words.dictionary).take(words.indices)
+        # Buffers begin where the array does, as it was just made.
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else [0]
+        counts = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
+        last = np.cumsum(counts)
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[ends[i - n] : ends[i]]) for i, n in zip(last, counts, strict=True)]
+
+
+    def _looked_up(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of words; letters with marks behind them look theirs up apart."""
+        letters = pc.utf8_rtrim(words, _MARKS)
+        marks = pc.utf8_ltrim(words, _LETTERS)
+        lengths = pc.add(pc.binary_length(letters), pc.binary_length(marks))
+        cut = pc.and_(
+            pc.greater(pc.binary_length(letters), 0),
+            pc.equal(lengths, pc.binary_length(words)),
+        )
+        words = pc.if_else(cut, letters, words).dictionary_encode()
+        marks = pc.if_else(cut, marks, "").dictionary_encode()
+        # One string of all words, which hold no space, is quicker to read than each.
+        bounds = pa.array([0, len(words.dictionary)], pa.int32())
+        one = pc.binary_join(pa.ListArray.from_arrays(bounds, words.dictionary), " ")[0].as_py()
+        known = list(map(self._words.__getitem__, one.split(" "))) if one else []
+        tails = list(map(self._words.marked, marks.dictionary.to_pylist()))
+        return pc.binary_join_element_wise(
+            pa.array(known, pa.large_binary()).take(words.indices),
+            pa.array(tails, pa.large_binary()).take(marks.indices),
+            pa.scalar(b"", pa.large_binary()),
+        )
 
 
 def encoder(tokenizer_path: str, end_id: int, kept_bytes: int | None = None) -> Encoder:
@@ -130,6 +203,6 @@ def encoded_batches(
     rows: int = 256,
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with the ids of their ``text`` column."""
-    encode = encoder(tokenizer_path, end_id, kept_bytes).encode
+    encode_all = encoder(tokenizer_path, end_id, kept_bytes).encode_all
     for part in slices(batches, rows, keeps=True):
-        yield part, [encode(x or "") for x in part.column("text").to_pylist()]
+        yield part, encode_all(texts_of(part.column("text")))
