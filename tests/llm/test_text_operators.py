@@ -464,3 +464,23 @@ def test_ids_of_hot_words_and_long_documents(spark, pieces):
     df = spark.createDataFrame(texts, "doc_id long, text string")
     decoded = lattice.decode_ids(lattice.encode_documents(df, pieces), pieces)
     assert {r.doc_id: r.text for r in decoded.collect()} == {i: f" {t}" for i, t in texts}
+
+
+def test_texts_do_not_travel_with_their_words(spark, pieces, tmp_path):
+    ship(spark)
+    texts = [(i % 5 or None, f"{'same words. ' * (i % 9)}x{i}▁é") for i in range(40)] + [(7, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(2)
+    found = lattice.encode_documents(df, pieces, work=f"file:{tmp_path}")
+    # Words are dealt and ids go back; neither shuffle has a text, a row for each
+    # place of a word, or a row for each text.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    wanted = sorted((str(i), f" {t}".replace("▁", " ") if t else "") for i, t in texts)
+    decoded = lattice.decode_ids(found, pieces).collect()
+    assert sorted((str(r.doc_id), r.text) for r in decoded) == wanted
+    sent = spark.read.parquet(f"file:{tmp_path}/*/words-*")
+    assert sent.count() == sent.select("chunk", "word").distinct().count()
+    n = sent.select("chunk").distinct().count()
+    assert 0 < n <= 2 and sent.filter("word = '▁same'").count() <= n
+    ids = [(None, [-1, None, 10**6]), (1, None), (2, [])]
+    odd = spark.createDataFrame(ids, "doc_id long, ids array<int>")
+    assert [r.text for r in lattice.decode_ids(odd, pieces).collect()] == ["", "", ""]
