@@ -11,7 +11,8 @@ so words are encoded by themselves, each distinct word once:
 3. edges are grouped by word, without another shuffle, as the words are already dealt
    by their value;
 4. a fold over the edges, ordered by their ends, keeps the best score of each
-   position (Viterbi), and a second fold walks back from the end.
+   position (Viterbi), and a second fold walks back from the end, for many words at
+   a time.
 
 The best segmentation is the one with the greatest sum of scores; of equal sums the
 one whose last piece is longest, and so on backwards. A character without a piece
@@ -260,27 +261,14 @@ def decode_ids(
     that stands before the first word stays. Each row is decoded where it lies, so no
     ``key`` is needed and the work is linear in the ids of a row.
     """
-    spelt = {i: piece.replace(SPACE, " ").encode("utf-8") for piece, i, _ in pieces.rows}
-    spelt |= {pieces.first_byte + b: bytes([b]) for b in range(256)}
-    # One more entry, for ids out of the table, which spell nothing.
-    table = [spelt.get(i, b"") for i in range(max(spelt) + 2)]
-
-    def spelt_out(lists: pa.ListArray) -> list[str]:
-        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        known = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
-        known = np.where((known < 0) | (known >= len(table)), len(table) - 1, known)
-        spelling = pa.array(table, pa.large_binary()).take(pa.array(known))
-        ends = np.concatenate([[0], np.cumsum(pc.binary_length(spelling).to_numpy())])
-        bounds = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        data = memoryview(spelling.buffers()[2] or b"")
-        return [str(data[b:e], "utf-8").replace(SPACE, " ") for b, e in pairwise(bounds.tolist())]
-
-    @F.arrow_udf("string")
-    def text_of(lists: pa.Array) -> pa.Array:
-        parts = (lists.slice(at, _ROWS_READ) for at in range(0, len(lists), _ROWS_READ))
-        return pa.array([text for part in parts for text in spelt_out(part)], pa.string())
-
-    return rows.withColumn("text", text_of(ids))
+    spelt = {i: piece.encode("utf-8").hex() for piece, i, _ in pieces.rows}
+    spelt |= {pieces.first_byte + b: f"{b:02x}" for b in range(256)}
+    table = ",".join(spelt.get(i, "") for i in range(max(spelt) + 1))
+    # One constant for all rows; an id out of the table spells nothing.
+    entries = F.split(F.lit(table), ",", -1)
+    parts = F.transform(ids, lambda i: F.coalesce(F.get(entries, i), F.lit("")))
+    text = F.decode(F.unhex(F.concat_ws("", parts)), "UTF-8")
+    return rows.withColumn("text", F.regexp_replace(text, SPACE, " "))
 
 
 def _numbered(texts: list[str], number: dict[str, int], cut: re.Pattern | None) -> pa.ListArray:
@@ -400,6 +388,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = []
     if held:
         yield packed(pa.Table.from_batches(held))
+        held = []
+    give_back()
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -440,6 +430,8 @@ def _gather(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Recor
             held.append(row)
     if held:
         yield from texts()
+        held.clear()
+    give_back()
 
 
 def encode_documents(
