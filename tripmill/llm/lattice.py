@@ -328,11 +328,13 @@ def _number_words(
                 row_group_size=_ROWS_READ,
             )
         # A chunk of empty texts is found by a word that it does not use.
-        words = words or [SPACE]
+        sent = pa.array(words or [SPACE], pa.string())
+        # Words in order take less room, here and in the shuffle.
+        order = pc.array_sort_indices(sent)
         return pa.record_batch({
-            "chunk": pa.array(np.full(len(words), chunk, np.int64)),
-            "at": pa.array(np.arange(len(words), dtype=np.int32)),
-            "word": pa.array(words, pa.string()),
+            "chunk": pa.array(np.full(len(sent), chunk, np.int64)),
+            "at": order.cast(pa.int32()),
+            "word": sent.take(order),
         })
 
     for part in slices(batches, _ROWS_READ):
